@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -105,9 +107,8 @@ def feature_names(switches: FeatureSwitches = FeatureSwitches(), spec: Telemetry
 
 def block_names(block: str, spec: TelemetrySpec = SPEC) -> list[str]:
     """Column names of one interaction block."""
-    a, b, c = spec.settings
     if block == "setting_pairs":
-        return [f"{a}_x_{b}", f"{a}_x_{c}", f"{b}_x_{c}"]
+        return [f"{a}_x_{b}" for a, b in combinations(spec.settings, 2)]
     if block == "setting_sensor":
         return [f"{s}_x_{v}" for s in spec.settings for v in spec.sensors]
     return list(PHYSICAL_NAMES[block])
@@ -133,8 +134,7 @@ def _delta_exprs(w: WindowSpec, columns: tuple[str, ...]) -> list[Column]:
 
 
 def _setting_pairs(spec: TelemetrySpec) -> list[Column]:
-    a, b, c = (F.col(s) for s in spec.settings)
-    return _named(block_names("setting_pairs", spec), a * b, a * c, b * c)
+    return [(F.col(a) * F.col(b)).alias(f"{a}_x_{b}") for a, b in combinations(spec.settings, 2)]
 
 
 def _setting_sensor(spec: TelemetrySpec) -> list[Column]:
