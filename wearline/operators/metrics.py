@@ -55,7 +55,7 @@ def entity_counts(df: DataFrame, spec: TelemetrySpec = SPEC) -> DataFrame:
     return per_entity.groupBy(spec.group).agg(F.count(F.lit(1)).alias("n_units"), F.sum("_n").alias("n_rows"))
 
 
-def test_share(train: DataFrame, test: DataFrame) -> DataFrame:
+def split_shares(train: DataFrame, test: DataFrame) -> DataFrame:
     """Rows and columns per split and the test percentage."""
     a = train.agg(F.count(F.lit(1)).alias("train_rows"))
     b = test.agg(F.count(F.lit(1)).alias("test_rows"))
@@ -70,3 +70,10 @@ def backtest_summary(points: DataFrame) -> DataFrame:
     """Least, greatest and last RMSE of a backtest, and its length."""
     return points.agg(F.min("rmse").alias("min_rmse"), F.max("rmse").alias("max_rmse"),
                       F.max_by("rmse", "ratio").alias("final_rmse"), F.count(F.lit(1)).alias("n_points"))
+
+
+def pair_actual_predicted(predictions: DataFrame, actuals: DataFrame, key: str = "prediction_id") -> DataFrame:
+    """Predictions with the actual values that arrive for them; `paired` is false where either side is missing."""
+    a, b = predictions.withColumn("_p", F.lit(True)), actuals.withColumn("_a", F.lit(True))
+    return (a.join(b, key, "full")
+            .withColumn("paired", F.coalesce(F.col("_p") & F.col("_a"), F.lit(False))).drop("_p", "_a"))
