@@ -10,6 +10,7 @@ from wearline.bindings.ready import ready_tables
 from wearline.bindings.registry import oracle, query
 from wearline.functions import rounded
 from wearline.operators import drift, features
+from wearline.session import fresh_path
 from wearline.plans.drift_check import Baseline, drift_check, recent_feedback
 from wearline.spec import SPEC
 
@@ -62,12 +63,21 @@ ONE = ("sided as (select *, case when split = 'train' then 0 else 1 end as side
 SCORES = (*PLAIN, *PSI_CTES, *KS_CTES, "scores as (select feature, psi, ks from psi join ks using (feature))")
 
 
+_stored: dict[tuple[str, str], str] = {}
+
+
 def sides(spark, sf, columns=COLUMNS):
-    """Train rows as the baseline, test rows as the current sample."""
-    df = fx.telemetry(spark, sf)
-    for op in (features.temperature_features, features.pressure_features, features.speed_features,
-               features.fuel_air_features, features.cross_system_features):
-        df = op(df)
+    """Train rows as the baseline, test rows as the current sample, from a table stored once per session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _stored:
+        df = fx.telemetry(spark, sf)
+        for op in (features.temperature_features, features.pressure_features, features.speed_features,
+                   features.fuel_air_features, features.cross_system_features):
+            df = op(df)
+        path = fresh_path(spark, "samples")
+        df.select("split", *COLUMNS).write.partitionBy("split").parquet(path)
+        _stored[key] = path
+    df = spark.read.parquet(_stored[key])
     return (df.filter(F.col("split") == s).select(*columns) for s in ("train", "test"))
 
 

@@ -34,7 +34,7 @@ class Samples:
 
 
 def pair_samples(baseline: DataFrame, current: DataFrame, features: Sequence[str],
-                 resolution: int = ladder.RESOLUTION) -> Samples:
+                 levels: int = ladder.LEVELS) -> Samples:
     """Lay both samples side by side. Pass stored tables: the rows are read once per pass.
 
     The ladder is cut from both samples together.
@@ -43,8 +43,8 @@ def pair_samples(baseline: DataFrame, current: DataFrame, features: Sequence[str
         return df.select(*features, F.lit(b).alias("b"), F.lit(c).alias("c"))
 
     rows = part(baseline, 1, 0).unionByName(part(current, 0, 1))
-    rungs = ladder.ladders(rows, features, resolution)
-    cells = ladder.with_buckets(ladder.to_long(rows, features, ("b", "c")), rungs, resolution)
+    rungs = ladder.ladders(rows, features, levels)
+    cells = ladder.with_buckets(ladder.to_long(rows, features, ("b", "c")), rungs, levels)
     return Samples(tuple(features), cells, ladder.bucket_totals(cells, "b", "c"))
 
 

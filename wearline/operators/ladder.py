@@ -12,20 +12,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A ladder has RESOLUTION ** 2 buckets.
-RESOLUTION = 16
+# A ladder has 2 ** LEVELS buckets.
+LEVELS = 8
 
 
-def ladders(df: DataFrame, features: Sequence[str], resolution: int = RESOLUTION) -> DataFrame:
+def ladders(df: DataFrame, features: Sequence[str], levels: int = LEVELS) -> DataFrame:
     """One row per feature: `fid`, and `rungs`, the ascending bucket bounds.
 
     One aggregate over the wide rows, with one small sketch per column and task.
     """
-    n = resolution * resolution
-    points = [i / n for i in range(1, n)]
+    n = 2 ** levels
+    points = F.lit(np.arange(1, n) / n)  # one array literal rather than an expression per point
     sketches = [F.percentile_approx(usable(c), points, 10 * n) for c in features]
     return df.agg(F.array(*sketches).alias("_all")).select(F.posexplode("_all").alias("fid", "rungs"))
 
@@ -42,25 +43,24 @@ def to_long(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) ->
     return df.select(*keep, cells).filter(F.col("value").isNotNull())
 
 
-def with_buckets(long: DataFrame, rungs: DataFrame, resolution: int = RESOLUTION) -> DataFrame:
-    """Attach `bucket`, the number of rungs at or below the value, in two steps of few comparisons.
+def with_buckets(long: DataFrame, rungs: DataFrame, levels: int = LEVELS) -> DataFrame:
+    """Attach `bucket`, the number of rungs at or below the value, by halving: `levels` comparisons.
 
-    The ladder table has one row per column of the schema, so it is broadcast.
+    Few comparisons keep the generated method small enough to be compiled. The ladder table has one
+    row per column of the schema, so it is broadcast.
     """
-    coarse = sum((F.when(F.col("value") >= F.get("rungs", F.lit(resolution * i - 1)), 1).otherwise(0)
-                  for i in range(1, resolution)), F.lit(0)) * resolution
-    fine = sum((F.when(F.col("value") >= F.get("rungs", F.col("_coarse") + i), 1).otherwise(0)
-                for i in range(resolution - 1)), F.lit(0))
-    return (long.join(F.broadcast(rungs), "fid")
-            .withColumn("_coarse", coarse)
-            .withColumn("bucket", F.col("_coarse") + fine)
-            .drop("_coarse", "rungs"))
+    out = long.join(F.broadcast(rungs), "fid").withColumn("bucket", F.lit(0))
+    for level in reversed(range(levels)):
+        step = 2 ** level
+        passed = F.col("value") >= F.get("rungs", F.col("bucket") + (step - 1))
+        out = out.withColumn("bucket", F.col("bucket") + F.when(passed, step).otherwise(0))
+    return out.drop("rungs")
 
 
 def bucket_totals(bucketed: DataFrame, *sums: str) -> DataFrame:
     """Per (fid, bucket): each named count, the count in earlier buckets and in the whole feature."""
     totals = bucketed.groupBy("fid", "bucket").agg(*[F.sum(s).alias(s) for s in sums])
-    by_feature = Window.partitionBy("fid")  # at most RESOLUTION ** 2 rows per feature
+    by_feature = Window.partitionBy("fid")  # at most 2 ** LEVELS rows per feature
     earlier = by_feature.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(
         "fid", "bucket", *sums,
