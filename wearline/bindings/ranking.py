@@ -121,26 +121,26 @@ def _per_column(columns, exprs: str) -> str:
 @query("profile_columns", oracle(
     "select column_name as \"column\", n_rows, n_nulls, mean, std, \"min\", \"max\", is_constant from (" + _per_column(
         SPEC.base, "select '{c}' as column_name, count(*) as n_rows, count(*) - count({c}) as n_nulls, "
-        "round(avg({c}), 6) as mean, round(stddev_samp({c}), 6) as std, min({c}) as \"min\", max({c}) as \"max\", "
+        "round(avg({c}), 3) as mean, round(stddev_samp({c}), 3) as std, min({c}) as \"min\", max({c}) as \"max\", "
         "min({c}) = max({c}) as is_constant from telemetry") + ") t", "telemetry"))
 def _profile(spark, sf):
     return ranking.profile_columns(fx.telemetry(spark, sf), SPEC.base).withColumns(
-        {"mean": rounded("mean"), "std": rounded("std")})
+        {"mean": rounded("mean", 3), "std": rounded("std", 3)})
 
 
 @query("baseline_stats", oracle(_per_column(
-    SPEC.base, "select '{c}' as feature, round(avg({c}), 6) as mean, round(stddev_samp({c}), 6) as std from telemetry "
+    SPEC.base, "select '{c}' as feature, round(avg({c}), 3) as mean, round(stddev_samp({c}), 3) as std from telemetry "
     "where split = 'train'"), "telemetry"))
 def _baseline_stats(spark, sf):
     return ranking.baseline_stats(fx.split_of(spark, sf, "train"), SPEC.base).select(
-        "feature", rounded("mean").alias("mean"), rounded("std").alias("std"))
+        "feature", rounded("mean", 3).alias("mean"), rounded("std", 3).alias("std"))
 
 
 @query("variance_threshold", oracle("select feature, variance from (" + _per_column(
-    SPEC.base, "select '{c}' as feature, round(var_pop({c}), 6) as variance, var_pop({c}) as v from telemetry") +
+    SPEC.base, "select '{c}' as feature, round(var_pop({c}), 3) as variance, var_pop({c}) as v from telemetry") +
     ") t where v > 0.01", "telemetry"))
 def _variance(spark, sf):
-    return ranking.variance_threshold(fx.telemetry(spark, sf), SPEC.base).withColumn("variance", rounded("variance"))
+    return ranking.variance_threshold(fx.telemetry(spark, sf), SPEC.base).withColumn("variance", rounded("variance", 3))
 
 
 @query("mutual_information", oracle("""

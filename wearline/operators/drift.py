@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wearline.operators import ladder
+from wearline.session import stored
 from wearline.spec import DriftThresholds
 
 N_BINS = 10
@@ -37,15 +38,18 @@ def pair_samples(baseline: DataFrame, current: DataFrame, features: Sequence[str
                  levels: int = ladder.LEVELS) -> Samples:
     """Lay both samples side by side. Pass stored tables: the rows are read once per pass.
 
+    The ladder and the bucket totals are computed here, in one pass each, and stored: both are small
+    (one row per feature, and at most one per feature and bucket) and all later passes use them.
+
     The ladder is cut from both samples together.
     """
     def part(df: DataFrame, b: int, c: int) -> DataFrame:
         return df.select(*features, F.lit(b).alias("b"), F.lit(c).alias("c"))
 
     rows = part(baseline, 1, 0).unionByName(part(current, 0, 1))
-    rungs = ladder.ladders(rows, features, levels)
+    rungs = stored(ladder.ladders(rows, features, levels), "ladder")
     cells = ladder.with_buckets(ladder.to_long(rows, features, ("b", "c")), rungs, levels)
-    return Samples(tuple(features), cells, ladder.bucket_totals(cells, "b", "c"))
+    return Samples(tuple(features), cells, stored(ladder.bucket_totals(cells, "b", "c"), "totals"))
 
 
 def dropped_cells(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -137,8 +141,7 @@ def _psi(s: Samples, n_bins: int, epsilon: float) -> DataFrame:
 
     terms = F.transform(F.sequence(F.lit(0), F.lit(n_bins - 1)), term)
     total = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
-    return edges.select("fid").join(per_feature, "fid", "left").select(
-        "fid", F.coalesce(total, F.lit(0.0)).alias("psi"))
+    return per_feature.select("fid", total.alias("psi"))
 
 
 def _share(count: Column, total: Column, epsilon: float) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wearline.operators import ladder
+from wearline.session import stored
 
 
 def spearman(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
@@ -19,7 +20,7 @@ def spearman(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     values are ranked within their bucket. A constant column gives NULL.
     """
     columns = [*features, target]
-    rungs = ladder.ladders(df, columns)
+    rungs = stored(ladder.ladders(df, columns), "ladder")
     y_id = len(features)
     cells = ladder.to_long(df.withColumn("_y", ladder.usable(target)).filter(F.col("_y").isNotNull()), features, ("_y",))
 
@@ -28,7 +29,7 @@ def spearman(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
         df.sparkSession.range(y_id).select(F.col("id").cast("int").alias("fid")))
     y_cells = cells.select("fid", F.col("_y").alias("value"), F.lit(1).alias("n"))
     y_counts = (y_cells.groupBy("fid", "value").agg(F.sum("n").alias("n")))
-    y_bucketed = ladder.with_buckets(y_counts, y_rungs)
+    y_bucketed = stored(ladder.with_buckets(y_counts, y_rungs), "target-counts")
     y_ranked = ladder.value_ranks(y_bucketed, ladder.bucket_totals(y_bucketed, "n"), "n")
     mid = (F.col("n_all") + 1) / 2
     # Average rank of ties, measured from the middle rank.

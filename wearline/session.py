@@ -5,10 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-# Wide feature rows (229 columns) stay inside whole-stage code generation up to this many fields.
-WIDE_ROW_FIELDS = 300
+# Generated methods above this many bytes are never compiled by the JVM; beyond it Spark evaluates
+# expressions in smaller methods instead, which matters for rows of 229 columns.
+COMPILED_METHOD_BYTES = 8000
 
 
 def build_session(app: str, master: str | None = None, shuffle_partitions: int | None = None,
@@ -18,7 +19,7 @@ def build_session(app: str, master: str | None = None, shuffle_partitions: int |
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.codegen.maxFields", str(WIDE_ROW_FIELDS)))
+         .config("spark.sql.codegen.hugeMethodLimit", str(COMPILED_METHOD_BYTES)))
     if master:
         b = b.master(master).config("spark.ui.enabled", "false")
     if shuffle_partitions:
@@ -46,3 +47,14 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back.
+
+    For small tables that several later passes use: they are computed once, survive the loss of
+    executors, and keep the plans that use them short.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
