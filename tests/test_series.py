@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wearline.operators import features, labels, select
-from wearline.operators.series import add_position, plan_series
+from wearline.operators.series import add_position, add_running_total, plan_series
 from wearline.spec import TelemetrySpec
 
 SPEC = TelemetrySpec(settings=("setting_1",), sensors=("s_1", "s_2"))
@@ -45,7 +45,8 @@ def test_cut_windows_equal_whole(skewed, rows_per_block):
     for op in (lambda lay: features.rolling_mean(skewed, (3, 5, 20), spec=SPEC, layout=lay),
                lambda lay: features.delta(skewed, spec=SPEC, layout=lay),
                lambda lay: labels.label_rul_train(skewed, SPEC, lay),
-               lambda lay: add_position(skewed, lay, [SPEC.order], "rn")):
+               lambda lay: add_position(skewed, lay, [SPEC.order], "rn"),
+               lambda lay: add_running_total(skewed, lay, "s_2", "before")):
         assert as_set(op(whole)) == as_set(op(cut))
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wearline.operators.series import SeriesLayout, add_series_max, plan_series
+from wearline.operators.series import SeriesLayout, add_position, add_series_max, plan_series
 from wearline.spec import RUL_BANDS, SPEC, UNIT_STRIDE, TelemetrySpec
 
 
@@ -41,10 +41,9 @@ def label_rul_test(df: DataFrame, labels: DataFrame, spec: TelemetrySpec = SPEC,
 
 
 def entity_ranks(df: DataFrame, spec: TelemetrySpec = SPEC) -> DataFrame:
-    """Distinct entities with their 1-based rank by id within the group."""
-    w = Window.partitionBy(spec.group).orderBy(spec.entity)
-    return (df.select(*spec.keys).distinct()
-            .withColumn("_rank", F.row_number().over(w).cast("bigint")))
+    """Distinct entities with their 1-based rank by id within the group; a large group is numbered in blocks."""
+    units = df.select(*spec.keys).distinct()
+    return add_position(units, plan_series(units, (spec.group,), spec.entity), [spec.entity], "_rank")
 
 
 def check_label_count(df: DataFrame, labels: DataFrame, spec: TelemetrySpec = SPEC) -> DataFrame:

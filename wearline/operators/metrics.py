@@ -13,6 +13,9 @@ from wearline.spec import SPEC, TelemetrySpec
 # Default upper bounds of a duration or error histogram.
 DEFAULT_BOUNDS = (0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0, float("inf"))
 
+# Fixed value: the message of an accuracy summary without records.
+NO_FEEDBACK = "No feedback data available"
+
 
 def rmse_by(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*by).agg(rmse(actual, predicted).alias("rmse"))
@@ -38,7 +41,7 @@ def accuracy_summary(df: DataFrame, actual: str = "actual_rul", predicted: str =
         n.alias("total_feedback_entries"), F.avg(err).alias("mean_absolute_error"), F.max(err).alias("max_error"),
         F.min(err).alias("min_error"),
         F.avg(F.when(err <= 0.1 * F.abs(F.col(actual)), 1.0).otherwise(0.0)).alias("accuracy_within_10_percent"),
-        F.when(n == 0, "No feedback data available").alias("message"))
+        F.when(n == 0, NO_FEEDBACK).alias("message"))
 
 
 def error_histogram(df: DataFrame, value: Column, bounds: Sequence[float] = DEFAULT_BOUNDS,

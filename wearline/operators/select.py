@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wearline.operators.series import SeriesLayout, add_position, plan_series
+from wearline.operators.series import SeriesLayout, add_position, add_running_total, plan_series
 from wearline.spec import SPEC, TelemetrySpec
 
 
@@ -85,9 +85,8 @@ def row_prefix_fraction(df: DataFrame, fraction: float, spec: TelemetrySpec = SP
     everything = Window.orderBy(spec.group).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     groups = groups.select(spec.group, F.coalesce(F.sum("_gn").over(earlier), F.lit(0)).alias("_gbefore"),
                            F.floor(F.sum("_gn").over(everything) * F.lit(float(fraction))).alias("_quota"))
-    within = Window.partitionBy(spec.group).orderBy(spec.entity).rowsBetween(Window.unboundedPreceding, -1)
-    quota = (counts.withColumn("_before", F.coalesce(F.sum("_n").over(within), F.lit(0)))
-             .join(groups, spec.group)
+    placed = add_running_total(counts, plan_series(counts, (spec.group,), spec.entity), "_n", "_before")
+    quota = (placed.join(groups, spec.group)
              .select(*spec.keys, F.least("_n", F.col("_quota") - F.col("_gbefore") - F.col("_before")).alias("_take"),
                      "_n").filter(F.col("_take") > 0))
     whole = df.join(quota.filter(F.col("_take") == F.col("_n")).select(*spec.keys), list(spec.keys), "left_semi")

@@ -116,6 +116,24 @@ def add_position(df: DataFrame, layout: SeriesLayout, order_by: list[str], name:
     return rows.withColumn(name, position.cast("bigint")).drop(_SLICE, _BLOCK, _START)
 
 
+def add_running_total(df: DataFrame, layout: SeriesLayout, amount: str, name: str) -> DataFrame:
+    """Sum of `amount` over the earlier rows of the series (0 on the first); order values must be distinct."""
+    def earlier(w: WindowSpec) -> Column:
+        total = F.sum(amount).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        return F.coalesce(total, F.lit(0))
+
+    keys = list(layout.keys)
+    if not layout.is_cut:
+        return df.withColumn(name, earlier(Window.partitionBy(*keys).orderBy(layout.order)))
+    rows = (_with_slice(df, layout.keys, layout.order, layout.long_series, "left")
+            .join(F.broadcast(layout.slices.select(*keys, _SLICE, _BLOCK)), [*keys, _SLICE], "left"))
+    totals = rows.filter(F.col(_BLOCK).isNotNull()).groupBy(*keys, _BLOCK).agg(F.sum(amount).alias(amount))
+    offsets = totals.select(*keys, _BLOCK, earlier(Window.partitionBy(*keys).orderBy(_BLOCK)).alias("_offset"))
+    inside = earlier(Window.partitionBy(*keys, _BLOCK).orderBy(layout.order))
+    return (rows.withColumn(name, inside).join(F.broadcast(offsets), [*keys, _BLOCK], "left")  # one row per block
+            .withColumn(name, F.col(name) + F.coalesce("_offset", F.lit(0))).drop(_SLICE, _BLOCK, "_offset"))
+
+
 def add_series_max(df: DataFrame, layout: SeriesLayout, column: str, name: str) -> DataFrame:
     """Attach the largest value of `column` in the row's series.
 
