@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wearline.llm import packing, simhash
+from wearline.llm import packing, simhash, toxicity
 from wearline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": lambda spark, sf_dir: toxicity.score(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op2_best_fit_packing": lambda spark, sf_dir: packing.pack(table(spark, sf_dir, "documents")),
     "op4_simhash_near_dedup": lambda spark, sf_dir: simhash.digest(table(spark, sf_dir, "documents")),
 }
