@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wearline.llm import packing, quality_rules, simhash, toxicity, vector_search
+from wearline.llm import packing, quality_mil, quality_rules, simhash, toxicity, vector_search
 from wearline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,8 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": lambda spark, sf_dir: quality_rules.judged(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op9_exact_top_k": lambda spark, sf_dir: vector_search.search(table(spark, sf_dir, "embeddings")),
+    "op10_quality_classifier": lambda spark, sf_dir: quality_mil.score(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
 }
 
 ORACLES: dict[str, str] = {
