@@ -35,7 +35,7 @@ EDGE_CODES = (27, 28)
 #: Landmark words: those most typical of toxic documents, and frequent others.
 TOXIC_LANDMARKS, OTHER_LANDMARKS = 320, 60
 #: Bounds of the sample that the machine is fitted on.
-FIT_PER_CLASS, FIT_SENTENCES = 1500, 30
+FIT_PER_CLASS, FIT_SENTENCES = 2000, 30
 #: Scores of a document that the logistic layer sees.
 TOP = 4
 #: Words whose score a worker remembers before it starts afresh.
@@ -72,7 +72,7 @@ def _by_length(words: list[str]) -> Iterator[np.ndarray]:
     level = np.ceil(np.log2(np.maximum(size, 4))).astype(int)
     for k in np.unique(level):
         own = np.flatnonzero(level == k)
-        step = max(1, (1 << 19) >> int(k))
+        step = max(1, (1 << 17) >> int(k))
         for a in range(0, len(own), step):
             yield own[a:a + step]
 
@@ -119,11 +119,20 @@ class Kernel:
         out = np.zeros((len(words), len(self.landmarks)), dtype=np.float32)
         for own in _by_length(words):
             norm = np.zeros(len(own))
+            hits: dict[float, list[np.ndarray]] = {}
             for code, whole, weight in grams(_codes([words[i] for i in own])):
                 norm += weight ** 2 * whole.sum(axis=1)
-                hit = np.where(whole, look[code], -1)
-                r, c = np.nonzero(hit >= 0)
-                np.add.at(out, own[r], weight * self.weights[hit[r, c]])
+                hits.setdefault(weight, []).append(np.where(whole, look[code], -1))
+            for weight, parts in hits.items():
+                hit = np.sort(np.concatenate(parts, axis=1), axis=1)[:, ::-1]  # what was found comes first
+                counts = (hit >= 0).sum(axis=1)
+                order = np.argsort(-counts, kind="stable")
+                hit, counts = hit[order], counts[order]
+                total = np.zeros((len(own), out.shape[1]), dtype=np.float32)
+                for j in range(int(counts[0]) if len(counts) else 0):
+                    n = np.searchsorted(-counts, -j)
+                    total[:n] += self.weights[hit[:n, j]]
+                out[own[order]] += np.float32(weight) * total
             out[own] /= np.sqrt(np.maximum(norm, 1e-9))[:, None]
         return out
 
@@ -169,10 +178,11 @@ class WordScores(dict):
         return out
 
 
-def _machine(x: np.ndarray, y: np.ndarray, steps: int = 250, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
+def _machine(x: np.ndarray, y: np.ndarray, steps: int = 120, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
     """Linear machine with squared hinge loss, classes weighted alike."""
-    w, b = np.zeros(x.shape[1]), 0.0
-    cost = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
+    w, b = np.zeros(x.shape[1], dtype=np.float32), np.float32(0)
+    y = y.astype(np.float32)
+    cost = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
     moment, spread = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for t in range(1, steps + 1):
         slack = np.maximum(0.0, 1 - y * (x @ w + b))
@@ -181,7 +191,7 @@ def _machine(x: np.ndarray, y: np.ndarray, steps: int = 250, ridge: float = 1e-4
         moment = 0.9 * moment + 0.1 * slope
         spread = 0.99 * spread + 0.01 * slope ** 2
         move = 0.1 * (moment / (1 - 0.9 ** t)) / (np.sqrt(spread / (1 - 0.99 ** t)) + 1e-8)
-        w, b = w - move[:-1], b - move[-1]
+        w, b = w - move[:-1].astype(np.float32), b - np.float32(move[-1])
     return w, float(b)
 
 
@@ -241,7 +251,7 @@ def fit(found: DataFrame, sizes: dict[int, int]) -> dict | None:
                         for a in range(0, len(sentences), 4000)])
     label = np.where(y[owner] > 0, 1.0, -1.0)
     use = np.ones(len(sentences), dtype=bool)
-    for _ in range(4):
+    for _ in range(3):
         w, b = _machine(x[use], label[use])
         scores = x @ w + b
         best = np.full(len(rows), -np.inf)
