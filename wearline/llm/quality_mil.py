@@ -160,6 +160,29 @@ def fit(found: DataFrame, sizes: dict[int, int]) -> dict[str, np.ndarray] | None
     return train(x, mask, y, folds.class_weights(y, sizes))
 
 
+def _learnt(docs: DataFrame, labels: DataFrame, parts: int | None, held: int):
+    """The network (None without two classes) and the counts by class."""
+    rows = stored(folds.labelled(labels, "quality", parts, held), "labels")
+    found, sizes = folds.sample(docs, rows, FIT_PER_CLASS)
+    return fit(found, sizes), sizes
+
+
+def _scored(rows: DataFrame, key: str, model: dict | None, sizes: dict[int, int]) -> DataFrame:
+    """(`key`, score) of rows with columns `key` and text."""
+    if model is None:
+        total = sum(sizes.values())
+        return rows.select(key, F.lit(sizes.get(1, 0) / total if total else 0.5).alias("score"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in common.slices(batch):
+                x, owner = passages(common.encoded(part.column("text")))
+                yield pa.record_batch([part.column(key), pa.array(evaluate(model, x, owner, part.num_rows))],
+                                      names=[key, "score"])
+
+    return rows.select(key, "text").mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, score double")
+
+
 def score(docs: DataFrame, labels: DataFrame, parts: int | None = 5, held: int = 0) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document, learnt from labels outside the held-out rows.
 
@@ -167,22 +190,16 @@ def score(docs: DataFrame, labels: DataFrame, parts: int | None = 5, held: int =
     occur. Without labels of both classes every score is the share of label 1 (0.5 without labels). No
     documents give no rows; a null doc_id is never held out.
     """
-    rows = stored(folds.labelled(labels, "quality", parts, held), "labels")
-    found, sizes = folds.sample(docs, rows, FIT_PER_CLASS)
-    model = fit(found, sizes)
+    model, sizes = _learnt(docs, labels, parts, held)
     ids = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-    if model is None:
-        total = sum(sizes.values())
-        done = ids.select("doc_id", F.lit(sizes.get(1, 0) / total if total else 0.5).alias("score"))
-    else:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part in common.slices(batch):
-                    x, owner = passages(common.encoded(part.column("text")))
-                    yield pa.record_batch([part.column("doc_id"), pa.array(evaluate(model, x, owner, part.num_rows))],
-                                          names=["doc_id", "score"])
-
-        done = ids.mapInArrow(run, "doc_id long, score double")
     out = F.coalesce(common.remainder(F.col("doc_id"), parts) == held, F.lit(False)) if parts else F.lit(False)
-    return done.select("doc_id", out.alias("held_out"), "score",
-                       F.when(F.col("score") >= folds.CUT, 1).otherwise(0).alias("predicted"))
+    return _scored(ids, "doc_id", model, sizes).select(
+        "doc_id", out.alias("held_out"), "score",
+        F.when(F.col("score") >= folds.CUT, 1).otherwise(0).alias("predicted"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, parts: int | None = 5, held: int = 0) -> DataFrame:
+    """The rows of `docs`, with all their columns, whose score is at least folds.CUT."""
+    model, sizes = _learnt(docs, labels, parts, held)
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"].alias("text"))
+    return _scored(rows, "row", model, sizes).where(F.col("score") >= folds.CUT).select("row.*")

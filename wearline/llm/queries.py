@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wearline.llm import packing, quality_mil, quality_rules, simhash, suffix_dedup, toxicity, vector_search
+from wearline.llm import line_dedup, packing, quality_mil, quality_rules, simhash, suffix_dedup, toxicity, vector_search
 from wearline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,7 @@ QUERIES: dict[str, Query] = {
     "op2_best_fit_packing": lambda spark, sf_dir: packing.pack(table(spark, sf_dir, "documents")),
     "op3_suffix_dedup": lambda spark, sf_dir: suffix_dedup.digest(table(spark, sf_dir, "documents")),
     "op4_simhash_near_dedup": lambda spark, sf_dir: simhash.digest(table(spark, sf_dir, "documents")),
+    "op5_line_dedup": lambda spark, sf_dir: line_dedup.digest(table(spark, sf_dir, "documents")),
     "op8_quality_rules": lambda spark, sf_dir: quality_rules.judged(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op9_exact_top_k": lambda spark, sf_dir: vector_search.search(table(spark, sf_dir, "embeddings")),

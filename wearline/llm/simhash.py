@@ -19,7 +19,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wearline.llm import common
@@ -36,6 +36,8 @@ BLOCKS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
 PIVOTS = 24
 #: Different fingerprints of one key that a task compares at once; a task holds two such blocks.
 BLOCK_ROWS = 2048
+#: Ids that a join may broadcast; beyond, both sides are shuffled.
+BROADCAST_ROWS = 1_500_000
 
 
 def shingle_hashes(text: bytes, words: int = WORDS_IN_SHINGLE) -> np.ndarray:
@@ -74,8 +76,9 @@ def with_fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     return source.mapInArrow(run, "doc_id long, fp long")
 
 
-def _keys():
-    fp = F.col("fp")
+def block_keys(column: str) -> Column:
+    """The twenty keys of three blocks of a fingerprint."""
+    fp = F.col(column)
     out = []
     for i, chosen in enumerate(combinations(BLOCKS, 3)):
         key, at = F.lit(i).cast("long"), 5
@@ -161,7 +164,7 @@ def _link_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fingerprint_links(fps: DataFrame) -> DataFrame:
     """(a, b): links that span every component of the different fingerprints in `fps` (column fp)."""
-    keyed = fps.select("fp").distinct().select("fp", F.explode(_keys()).alias("key"))
+    keyed = fps.select("fp").distinct().select("fp", F.explode(block_keys("fp")).alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     cells = (keyed.join(shared, "key")
              .withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
@@ -195,3 +198,18 @@ def digest(docs: DataFrame) -> DataFrame:
     """`near_duplicates` with the fingerprint as 16 hexadecimal digits."""
     return near_duplicates(docs).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, with all their columns, that stand for their component: those with its least doc_id.
+
+    Of rows that repeat such an id one stays. A component whose ids are all null keeps one row.
+    """
+    found = stored(near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("kept_id")), "kept")
+    ids = found.distinct()
+    rows, different = found.count(), ids.count()
+    if different <= BROADCAST_ROWS:
+        ids = F.broadcast(ids)
+    kept = docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
+    return kept if rows == different else kept.dropDuplicates(["doc_id"])

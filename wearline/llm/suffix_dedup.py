@@ -306,28 +306,30 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """(doc, doc_id, text) where doc orders documents as doc_id does.
+    """(doc, text, row) where doc orders documents as doc_id does and row holds all columns of `docs`.
 
     doc is doc_id itself when no id is null or names different texts. Otherwise documents are numbered by
     (doc_id, hash of the text), null ids last, so each text has a key of its own.
     """
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("doc"),
+                       F.coalesce(docs["text"], F.lit("")).alias("text"))
     print_ = F.xxhash64("text")
-    odd = (rows.groupBy("doc_id").agg(F.min(print_).alias("a"), F.max(print_).alias("b"))
-           .where("doc_id is null or a <> b").limit(1).count())
+    odd = (rows.groupBy("doc").agg(F.min(print_).alias("a"), F.max(print_).alias("b"))
+           .where("doc is null or a <> b").limit(1).count())
     if not odd:
-        return rows.select(F.col("doc_id").alias("doc"), "doc_id", "text")
+        return rows
     spark = docs.sparkSession
-    order = (rows.select("doc_id", print_.alias("p")).distinct().orderBy(F.col("doc_id").asc_nulls_last(), "p"))
+    order = rows.select("doc", print_.alias("p")).distinct().orderBy(F.col("doc").asc_nulls_last(), "p")
     numbered = stored(spark.createDataFrame(order.rdd.zipWithIndex().map(lambda r: (r[0][0], r[0][1], r[1])),
-                                            "k long, p long, doc long"), "numbered")
+                                            "k long, p2 long, number long"), "numbered")
     return rows.withColumn("p", print_).join(
-        numbered.withColumnRenamed("p", "p2"), F.col("doc_id").eqNullSafe(F.col("k")) & (F.col("p") == F.col("p2"))
-    ).select("doc", "doc_id", "text")
+        numbered, F.col("doc").eqNullSafe(F.col("k")) & (F.col("p") == F.col("p2"))
+    ).select("row", F.col("number").alias("doc"), "text")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, spans, kept): `spans` are the maximal removed byte ranges, `kept` the remaining bytes.
+    """(row, text, spans, kept): `row` holds the columns of `docs`, `spans` are the maximal removed byte ranges,
+    `kept` the remaining bytes.
 
     Null texts count as empty, texts under LENGTH bytes lose nothing. Of rows that repeat an id and its text,
     none precedes the other: they are one document, listed as often as it occurs. Rows of one id with different
@@ -351,16 +353,31 @@ def deduplicated(docs: DataFrame) -> DataFrame:
                     cuts = [0, *(x for r in own for x in r), len(text)]
                     kept.append(b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2])) if own else text)
                 kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-                yield pa.record_batch([part.column("doc_id"), part.column("text"), pa.array(spans, kind),
-                                       pa.array(kept, pa.binary())], names=["doc_id", "text", "spans", "kept"])
+                yield pa.record_batch([part.column("row"), part.column("text"), pa.array(spans, kind),
+                                       pa.array(kept, pa.binary())], names=["row", "text", "spans", "kept"])
 
-    return keyed.join(lists, "doc", "left").select("doc_id", "text", "ranges").mapInArrow(
-        run, "doc_id long, text string, spans array<struct<start:long,stop:long>>, kept binary")
+    joined = keyed.join(lists, "doc", "left").select("row", "text", "ranges")
+    return joined.mapInArrow(run, f"row {joined.schema['row'].dataType.simpleString()}, text string, "
+                                  "spans array<struct<start:bigint,stop:bigint>>, kept binary")
+
+
+def shortened(docs: DataFrame) -> DataFrame:
+    """`docs` with what is kept as `text`; bytes of a character that was cut in two go as well."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [b.decode("utf-8", "ignore") for b in batch.column("kept").to_pylist()]
+            yield pa.record_batch([batch.column("row"), pa.array(texts, pa.string())], names=["row", "kept"])
+
+    found = deduplicated(docs.select(*docs.columns))
+    kind = found.schema["row"].dataType.simpleString()
+    done = found.select("row", "kept").mapInArrow(run, f"row {kind}, kept string")
+    return done.select(*[F.col("kept").alias("text") if c == "text" else F.col("row")[c].alias(c)
+                         for c in docs.columns])
 
 
 def digest(docs: DataFrame) -> DataFrame:
     """Counts and the SHA-256 of what is kept, for each document."""
-    return deduplicated(docs).select(
-        "doc_id", F.octet_length("text").cast("long").alias("n_bytes"),
+    return deduplicated(docs.select("doc_id", "text")).select(
+        F.col("row.doc_id").cast("long").alias("doc_id"), F.octet_length("text").cast("long").alias("n_bytes"),
         (F.octet_length("text") - F.octet_length("kept")).cast("long").alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
