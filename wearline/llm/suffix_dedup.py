@@ -104,7 +104,11 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
 
 
 def _anchor_rows(docs: DataFrame) -> DataFrame:
-    """(gram, run, doc, at): at is 128 * first string + further strings of the run."""
+    """(gram, run, doc, at): at is 128 * first string + further strings of the run.
+
+    Runs that start earlier within the same slice of texts are settled there: their at is -1 - at, and a name of
+    their own stands for the gram, so copies don't meet in one task.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in common.slices(batch):
@@ -113,11 +117,16 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
                 data = np.r_[data, np.zeros(2 * LENGTH, dtype=np.uint8)]
                 gram, name, low, high = anchors(data, starts, ends)
                 own = np.searchsorted(ends, low, side="right")
-                keys = part.column("doc").to_numpy(zero_copy_only=False)
-                yield pa.record_batch([pa.array(gram.view(np.int64)), pa.array(name.view(np.int64)),
-                                       pa.array(keys[own] if len(own) else low),
-                                       pa.array((low - starts[own]) * 128 + high - low)],
-                                      names=["gram", "run", "doc", "at"])
+                doc = part.column("doc").to_numpy(zero_copy_only=False)[own]
+                at = (low - starts[own]) * 128 + high - low
+                order = np.lexsort((at, doc, name, gram))
+                gram, name, doc, at = gram[order], name[order], doc[order], at[order]
+                opens = np.r_[True, (gram[1:] != gram[:-1]) | (name[1:] != name[:-1])][:len(gram)]
+                opener = np.maximum.accumulate(np.where(opens, np.arange(len(gram)), 0)) if len(gram) else order
+                later = (doc != doc[opener]) | (at != at[opener])
+                gram = np.where(later, _pair(gram, (doc * 1_000_003 + at).astype(np.uint64)), gram)
+                yield pa.record_batch([pa.array(gram.view(np.int64)), pa.array(name.view(np.int64)), pa.array(doc),
+                                       pa.array(np.where(later, -1 - at, at))], names=["gram", "run", "doc", "at"])
 
     return docs.select("doc", "text").mapInArrow(run, "gram long, run long, doc long, at long")
 
@@ -129,6 +138,10 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     several = False  # whether that kind has been asked for already
     for batch in batches:
         rows = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)])
+        done = rows[3] < 0
+        yield pa.record_batch([pa.array(np.zeros(int(done.sum()), dtype=bool)), pa.array(rows[0, done]),
+                               pa.array(rows[2, done]), pa.array(-1 - rows[3, done])], names=["ask", "gram", "doc", "at"])
+        rows = rows[:, ~done]
         if not rows.shape[1]:
             continue
         carried = first is not None
