@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wearline.llm import html_text, line_dedup, packing, quality_mil, quality_rules, simhash, suffix_dedup, toxicity, vector_search
+from wearline.llm import html_text, line_dedup, packing, piece_codec, quality_mil, quality_rules, simhash, suffix_dedup, toxicity, vector_search
 from wearline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ QUERIES: dict[str, Query] = {
     "op3_suffix_dedup": lambda spark, sf_dir: suffix_dedup.digest(table(spark, sf_dir, "documents")),
     "op4_simhash_near_dedup": lambda spark, sf_dir: simhash.digest(table(spark, sf_dir, "documents")),
     "op5_line_dedup": lambda spark, sf_dir: line_dedup.digest(table(spark, sf_dir, "documents")),
+    "op6_sentencepiece": lambda spark, sf_dir: piece_codec.digest(table(spark, sf_dir, "documents")),
     "op7_html_text": lambda spark, sf_dir: html_text.extracted(table(spark, sf_dir, "pages")),
     "op8_quality_rules": lambda spark, sf_dir: quality_rules.judged(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
