@@ -44,7 +44,7 @@ REMEMBERED = 400_000
 PATTERNS = [(0, *p) for p in combinations(range(1, SPAN), GRAM - 1)]
 _SPACED = re.compile(r"(?<!\S)(?:\S ){2,}\S(?!\S)")
 _EDGES = ".,;:!?\"'()[]{}*%$#&|<>-_~+=/\\"
-_SENTENCE = re.compile(r"[.!?]+\s+|\n")
+_SIGNS = {ord(c): None for c in _EDGES}
 
 
 def words_of(text: str) -> list[str]:
@@ -56,8 +56,8 @@ def words_of(text: str) -> list[str]:
 
 
 def _codes(words: list[str]) -> np.ndarray:
-    """[word, position] character codes with edge marks, padded with zeros."""
-    marked = ["\x01" + (w.strip(_EDGES) or w) + "\x02" for w in words]
+    """[word, position] character codes with edge marks, padded with zeros; signs inside a word are left out."""
+    marked = ["\x01" + (w.translate(_SIGNS) or w) + "\x02" for w in words]
     width = max(map(len, marked))
     points = np.array(marked, dtype=f"<U{width}").view(np.uint32).reshape(len(words), width)
     letter = (points >= 97) & (points <= 122)
@@ -113,7 +113,8 @@ class Kernel:
                 self.weights[at[c], i] = v / norms[i]
 
     def with_landmarks(self, words: list[str]) -> np.ndarray:
-        """[word, landmark] kernel values."""
+        """[word, landmark] kernel values; both sides are scaled by the root of their squared gram weights, which is
+        the kernel's own norm unless a gram occurs twice in a word."""
         look = np.full(ALPHABET ** GRAM, -1, dtype=np.int32)
         look[self.codes] = np.arange(len(self.codes))
         out = np.zeros((len(words), len(self.landmarks)), dtype=np.float32)
