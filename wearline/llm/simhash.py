@@ -76,11 +76,11 @@ def with_fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     return source.mapInArrow(run, "doc_id long, fp long")
 
 
-def block_keys(column: str) -> Column:
-    """The twenty keys of three blocks of a fingerprint."""
+def block_keys(column: str, blocks: tuple[tuple[int, int], ...] = BLOCKS, agree: int = 3) -> Column:
+    """The keys of every `agree` blocks of a fingerprint; the lowest five bits number the choice of blocks."""
     fp = F.col(column)
     out = []
-    for i, chosen in enumerate(combinations(BLOCKS, 3)):
+    for i, chosen in enumerate(combinations(blocks, agree)):
         key, at = F.lit(i).cast("long"), 5
         for shift, width in chosen:
             bits = F.shiftrightunsigned(fp, shift).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
