@@ -68,6 +68,31 @@ def test_ieee_division(spark):
     assert got[0] == math.inf and math.isnan(got[1]) and got[2] == -math.inf and got[3] == 2.0 and math.isnan(got[4])
 
 
+def test_rekey_refuses_ids_beyond_the_stride(spark):
+    df = series(spark, [0.0], 1001, 1).union(series(spark, [0.0], 1, 2))
+    with pytest.raises(Exception, match="does not fit the stride 1000"):
+        labels.rekey_units(df, ONE).collect()
+
+
+def test_unlabelled_units_keep_their_rows(spark):
+    df = series(spark, [0.0, 0.0], 1).union(series(spark, [0.0], 2))
+    lines = spark.createDataFrame([(1, 1, 10)], "subset int, line_no long, rul long")
+    assert sorted(((r.unit_number, r.RUL) for r in labels.label_rul_test(df, lines, ONE).collect()), key=repr) == [
+        (1, 10), (1, 11), (2, None)]
+    assert labels.check_label_count(df, lines, ONE).filter("not matches").count() == 1
+
+
+def test_feedback_ids_tell_records_apart(spark):
+    from wearline.streaming.feedback import feedback_enrich, split_future
+    rows = [("a", 1, 1.0, 2.0), ("a", 1, 1.5, 2.0), (None, 1, 1.0, 2.0), (None, 2, 1.0, 2.0), ("a", 1, 1.0, 2.0)]
+    df = spark.createDataFrame(rows, "prediction_id string, engine_id long, actual_rul double, predicted_rul double")
+    df = df.withColumn("feedback_timestamp", F.lit("2024-01-01").cast("timestamp"))
+    assert len({r.feedback_id for r in feedback_enrich(df).collect()}) == 4
+    later = df.withColumn("feedback_timestamp", F.lit("2999-01-01").cast("timestamp"))
+    now, future = split_future(df.union(later))
+    assert (now.count(), future.count()) == (5, 5)
+
+
 def test_rekey_leaves_other_groups(spark):
     df = series(spark, [0.0], 5, 2).union(series(spark, [0.0], 5, 9))
     assert sorted(r.unit_number for r in labels.rekey_units(df, ONE).collect()) == [5, 2005]
@@ -175,7 +200,7 @@ def test_payload_rows(spark):
 
 def test_pool_ratios():
     ratios = pool_ratios()
-    assert ratios[:2] == [0.1, 0.125] and len(ratios) in (36, 37) and ratios[-1] <= 1.0
+    assert ratios[:2] == [0.1, 0.125] and len(ratios) == 37 and ratios[-1] == 1.0
 
 
 def test_terminal_rows(spark):

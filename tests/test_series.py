@@ -50,6 +50,16 @@ def test_cut_windows_equal_whole(skewed, rows_per_block):
         assert as_set(op(whole)) == as_set(op(cut))
 
 
+def test_cut_series_keep_rows_with_null_keys(spark):
+    rows = [(1, 1, c) for c in range(1, 31)] + [(1, None, c) for c in range(1, 4)] + [(None, 2, 1), (None, None, 5)]
+    df = spark.createDataFrame(rows, "subset int, unit_number long, time_cycles long")
+    whole = plan_series(df, SPEC.keys, SPEC.order)
+    cut = plan_series(df, SPEC.keys, SPEC.order, rows_per_block=7)
+    assert cut.is_cut and not whole.is_cut
+    assert as_set(labels.label_rul_train(df, SPEC, cut)) == as_set(labels.label_rul_train(df, SPEC, whole))
+    assert labels.label_rul_train(df, SPEC, cut).count() == len(rows)
+
+
 def test_blocks_are_bounded(skewed):
     cut = plan_series(skewed, SPEC.keys, SPEC.order, rows_per_block=50)
     per_block = cut.slices.groupBy(*SPEC.keys, "_block").agg(F.sum("_n").alias("n")).collect()

@@ -144,7 +144,7 @@ _CLOSED = "(select date_trunc('milliseconds', max(feedback_timestamp)) from feed
     f"select * from ({windowed_sql('feedback', 'feedback_timestamp', '', f'count(*) as n_feedback, max(engine_id) as max_engine, round({RMSE_SQL}, 6) as rmse')}) t "
     f"where window_end <= {_CLOSED}", "feedback"))
 def _window_stream(spark, sf):
-    df = sfb.trailing_window_stream(fx.feedback_of(event_stream(spark, sf)), f"{DAY} seconds", f"{QUARTER} seconds")
+    df = sfb.trailing_window_stream(fx.feedback_of(event_stream(spark, sf)), "0 seconds", f"{DAY} seconds", f"{QUARTER} seconds")
     out = run_to_end(df, paths(spark, "windows"))
     return plain_times(out.withColumn("rmse", rounded("rmse")))
 
@@ -153,12 +153,12 @@ def _window_stream(spark, sf):
     f"select window_start, window_end, engine_id from ({windowed_sql('feedback', 'feedback_timestamp', 'engine_id', 'count(*) as n')}) t "
     f"where window_end <= {_CLOSED}", "feedback"))
 def _entity_stream(spark, sf):
-    df = sfb.entity_window_stream(fx.feedback_of(event_stream(spark, sf)), f"{DAY} seconds", f"{QUARTER} seconds")
+    df = sfb.entity_window_stream(fx.feedback_of(event_stream(spark, sf)), "0 seconds", f"{DAY} seconds", f"{QUARTER} seconds")
     return plain_times(run_to_end(df, paths(spark, "entities")))
 
 
-@query("feedback_enrich_stream", oracle("""
-select prediction_id, 'fb_' || substr(md5(prediction_id), 1, 16) as feedback_id, abs(predicted_rul - actual_rul) as error
+@query("feedback_enrich_stream", oracle(f"""
+select prediction_id, {fx.RECORD_ID_SQL} as feedback_id, abs(predicted_rul - actual_rul) as error
 from feedback""", "feedback"))
 def _enrich_stream(spark, sf):
     df = sfb.distinct_feedback(sfb.feedback_enrich(fx.feedback_of(event_stream(spark, sf))))

@@ -50,8 +50,8 @@ def _trailing_entities(spark, sf):
     return plain_times(windows.trailing_window_entities(fx.feedback(spark, sf), DAY, QUARTER))
 
 
-@query("feedback_enrich", oracle("""
-select prediction_id, engine_id, feedback_timestamp, 'fb_' || substr(md5(prediction_id), 1, 16) as feedback_id,
+@query("feedback_enrich", oracle(f"""
+select prediction_id, engine_id, feedback_timestamp, {fx.RECORD_ID_SQL} as feedback_id,
        abs(predicted_rul - actual_rul) as error from feedback""", "feedback"))
 def _enrich(spark, sf):
     return plain_times(feedback_enrich(fx.feedback(spark, sf)).select(

@@ -13,9 +13,14 @@ from wearline.spec import RUL_BANDS, SPEC, UNIT_STRIDE, TelemetrySpec
 
 def rekey_units(df: DataFrame, spec: TelemetrySpec = SPEC, stride: int = UNIT_STRIDE,
                 groups: tuple[int, ...] = tuple(RUL_BANDS)) -> DataFrame:
-    """Make entity ids unique across groups; groups not listed keep their ids."""
+    """Make entity ids unique across groups; groups not listed keep their ids.
+
+    An id outside 0 .. stride - 1 in a listed group would run into another group's ids: it stops the job.
+    """
     g, u = F.col(spec.group), F.col(spec.entity)
-    return df.withColumn(spec.entity, F.when(g.isin(*groups), u + g * F.lit(stride)).otherwise(u).cast("bigint"))
+    message = F.format_string(f"{spec.entity} %s of {spec.group} %s does not fit the stride {stride}", u, g)
+    moved = F.when((u < 0) | (u >= stride), F.raise_error(message)).otherwise(u + g * F.lit(stride))
+    return df.withColumn(spec.entity, F.when(g.isin(*groups), moved).otherwise(u).cast("bigint"))
 
 
 def label_rul_train(df: DataFrame, spec: TelemetrySpec = SPEC, layout: SeriesLayout | None = None) -> DataFrame:
@@ -29,6 +34,8 @@ def label_rul_test(df: DataFrame, labels: DataFrame, spec: TelemetrySpec = SPEC,
                    layout: SeriesLayout | None = None) -> DataFrame:
     """Truncated series: label line n belongs to the n-th smallest entity of its group.
 
+    An entity without a label line keeps its rows, with a NULL target; `check_label_count` finds the groups
+    where that happens, and `prepare_ready` refuses them.
     `labels` has (group, line_no, rul). The entity table is distinct ids, ranked per group; its
     size is the number of entities, so the join strategy is left to the optimizer.
     """
@@ -36,7 +43,7 @@ def label_rul_test(df: DataFrame, labels: DataFrame, spec: TelemetrySpec = SPEC,
     per_entity = entity_ranks(df, spec).join(
         labels.select(spec.group, F.col("line_no").alias("_rank"), F.col("rul").alias("_ref")),
         [spec.group, "_rank"]).drop("_rank")
-    out = add_series_max(df, layout, spec.order, "_last").join(per_entity, list(spec.keys))
+    out = add_series_max(df, layout, spec.order, "_last").join(per_entity, list(spec.keys), "left")
     return out.withColumn(spec.target, F.col("_ref") + F.col("_last") - F.col(spec.order)).drop("_last", "_ref")
 
 

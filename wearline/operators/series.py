@@ -142,8 +142,10 @@ def add_series_max(df: DataFrame, layout: SeriesLayout, column: str, name: str)
     """
     if not layout.is_cut:
         return df.withColumn(name, F.max(column).over(Window.partitionBy(*layout.keys)))
-    top = df.groupBy(*layout.keys).agg(F.max(column).alias(name))
-    return df.join(top, list(layout.keys))
+    named = {k: f"_key_{i}" for i, k in enumerate(layout.keys)}
+    top = df.groupBy(*[F.col(k).alias(n) for k, n in named.items()]).agg(F.max(column).alias(name))
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in named.items()]  # NULL keys are one series, as in a window
+    return df.join(top, same, "left").drop(*named.values())
 
 
 def _number(df: DataFrame, name: str) -> Column:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wearline.operators.features import create_features
-from wearline.operators.labels import check_terminal_row, label_rul_test, label_rul_train, last_row_per_unit, rul_band_filter
+from wearline.operators.labels import check_label_count, check_terminal_row, label_rul_test, label_rul_train, last_row_per_unit, rul_band_filter
 from wearline.operators.series import SeriesLayout, plan_series
 from wearline.sources.telemetry import read_ready
 from wearline.spec import SPEC, FeatureSwitches, TelemetrySpec
@@ -24,14 +25,21 @@ class TerminalRowError(ValueError):
     """A test series whose last cycle is not its single row of least remaining life."""
 
 
+class LabelCountError(ValueError):
+    """A group whose test units and label lines differ in number."""
+
+
 def prepare_ready(spark: SparkSession, train: DataFrame, test: DataFrame, labels: DataFrame, path: str,
                   switches: FeatureSwitches = FeatureSwitches(), spec: TelemetrySpec = SPEC,
                   train_layout: SeriesLayout | None = None, test_layout: SeriesLayout | None = None) -> ReadyTables:
-    """Label, derive, band-filter (training only), check and write.
+    """Check the label lines, label, derive, band-filter (training only), check and write.
 
     Each output is one plan with one wide shuffle, on (group, entity). The last rows are taken from
     the written test table, which is a scan rather than a second feature build.
     """
+    unequal = check_label_count(test, labels, spec).filter(~F.col("matches")).limit(5).collect()
+    if unequal:
+        raise LabelCountError(f"test units and label lines differ in number, for example {unequal}")
     a = train_layout or plan_series(train, spec.keys, spec.order)
     b = test_layout or plan_series(test, spec.keys, spec.order)
     ready_train = rul_band_filter(create_features(label_rul_train(train, spec, a), switches, spec, a), spec)
