@@ -8,8 +8,8 @@ result is, id for id, that of the library's own encoder.
 
 The pass keeps a window of nodes no longer than the longest piece. Whenever the backpointers of all nodes from
 which a piece may still start lead through one boundary, the ids before it are committed and forgotten. A
-character without a piece of its own becomes byte pieces and closes the window. Where no piece has a space mark
-after another character, the start of a word closes it as well; encoded words are then remembered.
+character without a piece of its own becomes byte pieces and closes the window; so does a boundary between two
+characters that stand together in no piece, such as the start of a word. What lies between is remembered.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ class Vocabulary:
                                              or model.is_unused(i))]
         self.pieces = [model.id_to_piece(i) for i in range(n)]
         self.ids = {self.pieces[i]: i for i in plain}
-        self.scores = {self.pieces[i]: model.get_score(i) for i in plain}
+        self.scores = {self.pieces[i]: model.get_score(i) for i in plain}  # the order of merges
         self.bytes = {int(self.pieces[i][3:5], 16): i for i in range(n) if model.is_byte(i)}
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.silent = {i for i in range(n) if model.is_control(i)}
@@ -52,7 +52,9 @@ class Vocabulary:
             if len(p) > 1:
                 ends.setdefault(p[-2:], set()).add(len(p))
         self.ends = {k: tuple(sorted(x, reverse=True)) for k, x in ends.items()}
-        self.words_close = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
+        #: Pairs of characters that stand together in some piece; no piece crosses a boundary between others.
+        self.inside = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
+        self.words_close = all(x[0] == SPACE or x[1] != SPACE for x in self.inside)
         self.known: dict[tuple[str, str], bool] = {}  # stable pairs
 
     def merged(self, text: str) -> list[str]:
@@ -88,42 +90,52 @@ class Stream:
 
     def _reset(self) -> None:
         self.text = ""  # characters since the last committed boundary
-        self.last: list[str | None] = [None]  # piece that ends at each node
-        self.total: list[float | None] = [0.0]  # best score of each node; None: no path
+        self.last: list[str | None] = [None]  # backpointers: the piece that ends at each node; None: no path
         self.before: str | None = None  # piece that ends at the committed boundary
 
-    def push(self, ch: str) -> None:
+    def push(self, chars: str) -> None:
         v = self.v
-        if ch not in v.ids:
-            self.close()
-            self.ids += [v.bytes[b] for b in ch.encode("utf-8")] if v.bytes else [v.unknown]
-            return
-        if ch == SPACE and v.words_close and self.text and self.text[-1] != SPACE:
-            self.close()
-        self.text += ch
-        end = len(self.text)
-        found = None
-        ids, known, last = v.ids, v.known, self.last
-        # The encoding of a beginning is unique under a merge order, so the first stable edge is the best one.
-        for size in (*v.ends.get(self.text[-2:], ()), 1):
-            start = end - size
-            if start < 0:
+        ids, ends, known, inside = v.ids, v.ends, v.known, v.inside
+        for ch in chars:
+            if ch not in ids:
+                self.close()
+                self.ids += [v.bytes[b] for b in ch.encode("utf-8")] if v.bytes else [v.unknown]
                 continue
-            piece = self.text[start:]
-            if piece in ids and self.total[start] is not None:
-                previous = last[start] if start else self.before
-                if previous is None:
-                    found = piece
-                    break
-                stable = known.get((previous, piece))
-                if v.stable(previous, piece) if stable is None else stable:
-                    found = piece
-                    break
-        self.total.append(None if found is None else self.total[end - len(found)] + v.scores[found])
-        self.last.append(found)
-        self.widest = max(self.widest, len(self.last))
-        if end > 2 * v.longest:
-            self._commit()
+            if self.text and self.text[-1] + ch not in inside:
+                self.close()
+            text = self.text = self.text + ch
+            last, end = self.last, len(text)
+            found = None
+            # The encoding of a beginning is unique under a merge order, so the first stable edge is the only one.
+            for size in ends.get(text[-2:], ()) if end > 1 else ():
+                start = end - size
+                if start < 0:
+                    continue
+                piece = text[start:]
+                if piece in ids:
+                    if start:
+                        previous = last[start]
+                        if previous is None:
+                            continue
+                    else:
+                        previous = self.before
+                    if previous is None:
+                        found = piece
+                        break
+                    stable = known.get((previous, piece))
+                    if v.stable(previous, piece) if stable is None else stable:
+                        found = piece
+                        break
+            if found is None:
+                previous = last[-1] if end > 1 else self.before
+                if end == 1 or previous is not None:
+                    if previous is None or v.stable(previous, ch):
+                        found = ch
+            last.append(found)
+            if end >= self.widest:
+                self.widest = end + 1
+            if end > 2 * v.longest:
+                self._commit()
 
     def _path(self, node: int) -> list[int]:
         """Boundaries on the way back from a node, itself included."""
@@ -136,19 +148,17 @@ class Stream:
     def _commit(self) -> None:
         """Commit up to the last boundary that the paths of all surviving nodes share."""
         end = len(self.text)
-        alive = [n for n in range(max(1, end - self.v.longest + 1), end + 1) if self.total[n] is not None]
-        common_ = set(self._path(alive[0])) if alive else {0}
+        alive = [n for n in range(max(1, end - self.v.longest + 1), end + 1) if self.last[n] is not None]
+        shared = set(self._path(alive[0])) if alive else {0}
         for n in alive[1:]:
-            common_ &= set(self._path(n))
-        boundary = max(common_, default=0)
+            shared &= set(self._path(n))
+        boundary = max(shared, default=0)
         if not boundary:
             return
         self._emit(boundary)
         self.before = self.last[boundary]
-        base = self.total[boundary]
         self.text = self.text[boundary:]
         self.last = [None, *self.last[boundary + 1:]]
-        self.total = [0.0, *(None if t is None else t - base for t in self.total[boundary + 1:])]
 
     def _emit(self, node: int) -> None:
         path = self._path(node)
@@ -164,8 +174,7 @@ class Stream:
 def encode(vocabulary: Vocabulary, text: str) -> list[int]:
     """Ids of a whole text, one character at a time."""
     stream = Stream(vocabulary)
-    for ch in (SPACE + text.replace(" ", SPACE)) if text else "":
-        stream.push(ch)
+    stream.push((SPACE + text.replace(" ", SPACE)) if text else "")
     stream.close()
     return stream.ids
 
@@ -197,11 +206,16 @@ class Words(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
-        stream = Stream(self.vocabulary)
-        for ch in word:
-            stream.push(ch)
-        stream.close()
-        ids = self[word] = np.array(stream.ids, dtype="<u4").tobytes()
+        inside = self.vocabulary.inside
+        cuts = [0, *(i for i in range(1, len(word)) if word[i - 1:i + 1] not in inside), len(word)]
+        if len(cuts) > 2:  # parts that no piece joins are remembered by themselves
+            ids = b"".join([self[word[a:b]] for a, b in zip(cuts, cuts[1:])])
+        else:
+            stream = Stream(self.vocabulary)
+            stream.push(word)
+            stream.close()
+            ids = np.array(stream.ids, dtype="<u4").tobytes()
+        self[word] = ids
         return ids
 
     def ids(self, text: str) -> bytes:
