@@ -47,13 +47,15 @@ def to_long(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) ->
 def with_buckets(long: DataFrame, rungs: DataFrame, levels: int = LEVELS) -> DataFrame:
     """Attach `bucket`, the number of rungs at or below the value, by halving: `levels` comparisons.
 
-    One expression, so that the rungs are read in place and never copied from row to row. The ladder
-    table has one row per column of the schema, so it is broadcast.
+    One column a level: each is compiled, and few comparisons keep the generated method small enough for it.
+    The ladder table has one row per column of the schema, so it is broadcast.
     """
-    steps = F.array(*[F.lit(2 ** level) for level in reversed(range(levels))])
-    bucket = F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(
-        F.col("value") >= F.get("rungs", at + step - 1), step).otherwise(0))
-    return long.join(F.broadcast(rungs), "fid").select(*long.columns, bucket.alias("bucket"))
+    out = long.join(F.broadcast(rungs), "fid").withColumn("bucket", F.lit(0))
+    for level in reversed(range(levels)):
+        step = 2 ** level
+        passed = F.col("value") >= F.get("rungs", F.col("bucket") + (step - 1))
+        out = out.withColumn("bucket", F.col("bucket") + F.when(passed, step).otherwise(0))
+    return out.select(*long.columns, "bucket")
 
 
 def bucket_totals(bucketed: DataFrame, *sums: str) -> DataFrame:
