@@ -93,7 +93,7 @@ def gone_lines(rows):
             if w := normalised(line):
                 places.setdefault(" ".join(w), set()).add((d is None, d, p))
     names = sorted(places)
-    fps = [bits([xxhash.xxh64_intdigest(w.encode(), seed=42) for w in n.split(" ")]) for n in names]
+    fps = [bits([xxhash.xxh64_intdigest(w.encode(), seed=42) for w in set(n.split(" "))]) for n in names]
     s = Sets()
     for i, a in enumerate(names):
         s.find(i)

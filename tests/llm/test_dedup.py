@@ -168,7 +168,7 @@ def test_lines_long_lines_count_every_word(spark, documents):
     text = " ".join(f"w{i % 301}" for i in range(1000))
     got = line_dedup.fingerprints(documents([(1, text)])).first()
     import xxhash
-    want = brute.bits([xxhash.xxh64_intdigest(w.encode(), seed=42) for w in text.split()])
+    want = brute.bits([xxhash.xxh64_intdigest(w.encode(), seed=42) for w in set(text.split())])
     assert got.fp & (1 << 64) - 1 == want
 
 
