@@ -3,7 +3,8 @@
 A page is read tag by tag into a flat list of text blocks; a block ends where a block-level element begins or
 ends. Each block has a word count and a link density, and those of its neighbours, and knows which kinds of
 element it stands in. A decision tree, trained on the small labelled table below, tells main text from the
-rest. What can never be text to read (scripts, styles, forms, comments, hidden parts) makes no block.
+rest. What can never be text to read (scripts, styles, controls, comments, hidden parts) makes no block; a form
+makes blocks only when it holds running text.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from wearline.llm import common
 
 #: Elements whose content is never shown as text, and those that are controls to fill in.
 SILENT = {"script", "style", "template", "noscript", "svg", "math", "iframe", "object", "canvas", "audio", "video",
-          "head", "title", "form", "button", "select", "textarea", "option", "datalist", "dialog", "map"}
+          "head", "title", "button", "select", "textarea", "option", "datalist", "dialog", "map"}
 #: Of these, elements whose content is plain characters up to their end tag.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -33,12 +34,18 @@ ENDS = {"p": {"address", "article", "aside", "blockquote", "div", "dl", "fieldse
               "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"},
         "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"},
         "tr": {"tr"}}
+#: What may stand in a head; any other element, and text, ends a head that was not closed.
+IN_HEAD = {"base", "basefont", "bgsound", "link", "meta", "noscript", "script", "style", "template", "title"}
+#: A form without a block of so many unlinked words is there to be filled in.
+FORM_WORDS = 20
 #: Words in a class, id or role that mark what surrounds an article.
 AROUND = re.compile(
     r"(?:^|[-_\s])(?:ads?|advert\w*|adverts?|sponsor\w*|promo\w*|banner\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|"
     r"side|widgets?|related|recommend\w*|share|sharing|social|footer|header|masthead|cookies?\w*|consent|gdpr|notice\w*|"
     r"popup|modal|overlay|newsletter|subscribe\w*|signup|login|search\w*|pagination|pager|toolbar|comments?|respond|replies|"
     r"disqus|complementary|contentinfo|navigation|banner|alert|disclaimer|copyright|legal|tags?|toc)(?:$|[-_\s])", re.I)
+#: Parts of a class that say what an element has beside it, or lacks, or is about.
+BESIDE = re.compile(r"(?:^|(?<=\s))(?:has|no|with|without|tags?|category|is|hide|show)-\S*", re.I)
 #: Words that mark the article itself.
 INSIDE = re.compile(r"(?:^|[-_\s])(?:article\w*|content|main\w*|post|post-?body|entry\w*|story\w*|body|text|prose)(?:$|[-_\s])", re.I)
 
@@ -51,10 +58,11 @@ _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _CHROME = {"nav", "aside", "footer", "menu"}
 
 FEATURES = ("words", "link_density", "previous_words", "previous_density", "next_words", "next_density",
-            "in_article", "in_chrome", "in_header", "heading", "list_item", "ends_sentence")
+            "in_article", "in_chrome", "in_header", "heading", "list_item", "ends_sentence", "around")
 
 # Labelled blocks: FEATURES in order, then 1 for main text. Blocks inside what surrounds an article, and plain
-# blocks of an article, occur at any length, linked or not, next to anything; they are laid out by rule.
+# blocks of an article, occur at any length, linked or not, next to anything; they are laid out by rule. The last
+# feature is 2 inside an element that a class or id names as surroundings, 1 when an article begins inside of that.
 _ANY = [(w, d, pw, pd, nw, nd) for w, d in ((1, 0.0), (2, 1.0), (7, 0.0), (9, 0.6), (30, 0.0), (90, 0.1))
         for pw, pd, nw, nd in ((0, 0.0, 40, 0.0), (3, 1.0, 2, 1.0), (60, 0.0, 0, 0.0))]
 TRAINING = [(*x, article, 1, 0, 0, item, end, 0) for x in _ANY for article, item, end in ((0, 0, 1), (0, 1, 0), (1, 0, 1))]
@@ -81,6 +89,19 @@ TRAINING += [
 ]
 
 
+TRAINING = [(*row[:-1], 0, row[-1]) for row in TRAINING]
+# named as surroundings: only long plain text outside of an article is text; an article inside has its long blocks
+# and what stands next to them
+TRAINING += [(*x, article, 0, 0, heading, item, end, 2, int(x[0] >= 60 and not article)) for x in _ANY
+             for article, heading, item, end in ((0, 0, 0, 1), (0, 0, 0, 0), (0, 0, 1, 0), (0, 1, 0, 0), (1, 0, 0, 1), (1, 0, 0, 0))]
+TRAINING += [(*x, 1, 0, 0, heading, item, end, 1, int(x[1] < 0.5 and (x[0] >= 20 or max(x[2], x[4]) >= 20))) for x in _ANY
+             for heading, item, end in ((0, 0, 1), (0, 0, 0), (1, 0, 0), (0, 1, 0))]
+# classes with has-, no-, with- say nothing about their own element ("content with-sidebar", "post tag-news",
+# "entry-content no-sidebar", "post-content has-comments"): an article's blocks with no surroundings
+TRAINING += [(9, 0.0, 6, 0.0, 25, 0.0, 1, 0, 0, 0, 0, 1, 0, 1), (25, 0.0, 9, 0.0, 3, 1.0, 1, 0, 0, 0, 0, 1, 0, 1),
+             (4, 0.0, 0, 0.0, 9, 0.0, 1, 0, 0, 1, 0, 0, 0, 1), (6, 0.2, 25, 0.0, 0, 0.0, 1, 0, 0, 0, 1, 0, 0, 1)]
+
+
 def grow(rows: np.ndarray, depth: int = 8) -> tuple | int:
     """Decision tree by Gini impurity: a label, or (feature, cut, tree below the cut, tree from it on)."""
     y = rows[:, -1]
@@ -115,6 +136,7 @@ class Page:
         self.open: list[tuple[str, set]] = []  # open elements with the marks they set
         self.parts: list[str] = []
         self.linked = 0
+        self.forms = 0
         at = 0
         while at < len(source):
             tag = _TAG.search(source, at)
@@ -136,11 +158,18 @@ class Page:
                     at = close.end() if close else len(source)
                     self.end(name)
         self.flush()
+        written = {m for _, n, linked, marks in self.blocks if n - linked >= FORM_WORDS for m in marks if m.startswith("form ")}
+        self.blocks = [b for b in self.blocks if all(m in written for m in b[3] if m.startswith("form "))]
 
     def marks(self) -> set:
-        return set().union(*(m for _, m in self.open)) if self.open else set()
+        marks = set().union(*(m for _, m in self.open)) if self.open else set()
+        # what is named as surroundings inside an article that began in such an element is so again
+        last = next((m for _, m in reversed(self.open) if m & {"around", "begins"}), set())
+        return marks - {"begins"} if "around" in last else marks
 
     def text(self, raw: str) -> None:
+        if self.open and self.open[-1][0] == "head" and raw.strip():
+            self.open.pop()
         marks = self.marks()
         if "silent" in marks:
             return
@@ -159,6 +188,8 @@ class Page:
         if name == "br":
             self.parts.append(" ")
             return
+        if self.open and self.open[-1][0] == "head" and name not in IN_HEAD:
+            self.open.pop()
         while self.open and name in ENDS.get(self.open[-1][0], ()):
             self.flush()
             self.open.pop()
@@ -169,6 +200,11 @@ class Page:
         marks = set()
         if name in SILENT:
             marks.add("silent")
+        if name == "form":
+            self.forms += 1
+            marks.add(f"form {self.forms}")
+        if name in ("label", "legend") and any(n == "form" for n, _ in self.open):
+            marks.add("silent")
         if name == "a":
             marks.add("link")
         if name in _CHROME:
@@ -186,10 +222,15 @@ class Page:
             if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and _HIDDEN.search(value):
                 marks.add("silent")
             elif key in ("class", "id", "role") and name not in INLINE and name not in ("html", "body"):
-                if name not in ("article", "main") and AROUND.search(value):
-                    marks.add("chrome")
+                value = BESIDE.sub("", value)
+                if AROUND.search(value):
+                    marks.add("named")
+                    if name not in ("article", "main"):
+                        marks.add("chrome" if key == "role" else "around")
                 elif INSIDE.search(value):
                     marks.add("article")
+        if "article" in marks and not marks & {"named", "chrome"} and "around" in self.marks():
+            marks.add("begins")
         self.open.append((name, marks))
 
     def end(self, name: str) -> None:
@@ -212,7 +253,8 @@ class Page:
             marks = own[3]
             yield own[0], [own[1], density[0], before[1], density[1], after[1], density[2], "article" in marks,
                            "chrome" in marks, "header" in marks, "heading" in marks, "item" in marks,
-                           own[0].rstrip("\"')”»").endswith((".", "!", "?", ":", "…"))]
+                           own[0].rstrip("\"')”»").endswith((".", "!", "?", ":", "…")),
+                           2 - ("begins" in marks) if "around" in marks else 0]
 
 
 _TREE: list = []
