@@ -29,7 +29,7 @@ def _plain(v):
         return tuple((k, _plain(x)) for k, x in v.items())
     if isinstance(v, (list, tuple)):
         return tuple(_plain(x) for x in v)
-    if v is None or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
         return None
     if isinstance(v, float) and v == 0:
         return 0.0
@@ -55,7 +55,7 @@ def compare(spark_pdf: pd.DataFrame, sql_pdf: pd.DataFrame) -> str | None:
         cells = [(c, p, q) for c, p, q in zip(sorted(spark_pdf.columns), x, y) if p != q][:4]
         return f"{len(bad)} of {len(a)} rows differ, first: {cells}"
     kinds = {c: (spark_pdf[c].dtype, sql_pdf[c].dtype) for c in spark_pdf.columns
-             if spark_pdf[c].dtype.kind != sql_pdf[c].dtype.kind}
+             if spark_pdf[c].dtype.kind != sql_pdf[c].dtype.kind and not spark_pdf[c].isna().any()}
     return f"types {kinds}" if kinds else None
 
 
