@@ -332,7 +332,7 @@ def repair(conversations: DataFrame) -> DataFrame:
     """(conv_id, seq, role, text) of the repaired conversations, whose roles follow (s?(ua)+)?.
 
     Rows are taken by turn (nulls first), rows of one turn by role and the MD5 of the text. A null role or text counts
-    as one space, rows with a null conv_id are one conversation. A role counts by its first character. Repeated rows
+    as one space, rows with a null conv_id are one conversation. A role counts by its first character; an empty role fits nowhere and is changed. Repeated rows
     are duplicates of the first and go; blank rows go. A conversation may come out empty. An empty table gives no
     rows. Other columns are not read.
     """
