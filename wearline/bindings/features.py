@@ -45,8 +45,9 @@ def _label_rul_test(spark, sf):
 
 
 @query("rekey_units", oracle("""
-select subset, case when subset in (1,2,3,4) then unit_number + 1000 * subset else unit_number end as unit_number,
-       split, time_cycles from telemetry""", "telemetry"))
+select subset, unit_number + stride * subset as unit_number, split, time_cycles
+from telemetry cross join (select greatest(1000, cast(power(10, length(cast(max(unit_number) as varchar))) as bigint)) as stride from telemetry) s""",
+                              "telemetry"))
 def _rekey_units(spark, sf):
     return labels.rekey_units(fx.telemetry(spark, sf)).select("subset", "unit_number", "split", "time_cycles")
 

@@ -65,6 +65,12 @@ feedback as (
          concat(cast(1 + cast(floor(event_id / 1000) as bigint) as varchar(20)), '.0') as model_version
   from events)"""
 
+# The same records with the group and the id in it, which tell entities apart in a fleet of any size.
+GROUPED_FEEDBACK_SQL = """
+grouped_feedback as (
+  select cast(1 + user_id % 4 as int) as subset, 1 + cast(floor(user_id / 4) as bigint) as engine_id,
+         ts as feedback_timestamp from events)"""
+
 REQUESTS_SQL = """
 requests as (
   select event_id as request_id, ts,
@@ -146,6 +152,13 @@ def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feedback_of(table(spark, sf_dir, "events"))
 
 
+def grouped_feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(
+        (1 + F.col("user_id") % 4).cast("int").alias("subset"),
+        (1 + F.floor(F.col("user_id") / 4)).cast("bigint").alias("engine_id"),
+        F.col("ts").cast("timestamp").alias("feedback_timestamp"))
+
+
 def feedback_of(events: DataFrame) -> DataFrame:
     worse = F.when(F.col("ts") >= F.lit("2024-01-16 00:00:00").cast("timestamp_ntz"), 15).otherwise(0)
     return events.select(

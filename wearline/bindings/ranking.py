@@ -10,7 +10,7 @@ from wearline.bindings.features import FEATURED_CTES, with_rul
 from wearline.bindings.ready import ready_tables
 from wearline.bindings.registry import oracle, query
 from wearline.functions import rounded
-from wearline.operators import features, folds, labels, metrics, ranking, select, sequences
+from wearline.operators import features, folds, metrics, ranking, select, sequences
 from wearline.sources.models import next_model_version, promotion_gate
 from wearline.spec import SPEC
 
@@ -57,28 +57,28 @@ for _block, _columns in BLOCKS.items():
     _rank(f"rank_features_spearman_{_block}", _columns, signed=False)
 _rank("rank_setting_rolling_signed", SETTING_ROLLING, signed=True)
 
-REKEYED_TRAIN = """
-rekeyed_train as (select * replace (unit_number + 1000 * subset as unit_number) from train_rul)"""
-
-
 @query("group_kfold", oracle("""
-select unit_number, n_rows, cast(case when turn % 2 = 0 then place else 4 - place end as int) as fold
-from (select unit_number, n_rows, (rn - 1) // 5 as turn, (rn - 1) % 5 as place
-      from (select unit_number, count(*) as n_rows, row_number() over (order by count(*) desc, unit_number) as rn
-            from rekeyed_train group by 1) a) b""", "prepared", ctes=(REKEYED_TRAIN,)))
+select subset, unit_number, n_rows, cast(case when turn % 2 = 0 then place else 4 - place end as int) as fold
+from (select subset, unit_number, n_rows, (rn - 1) // 5 as turn, (rn - 1) % 5 as place
+      from (select subset, unit_number, count(*) as n_rows, row_number() over (order by count(*) desc, subset, unit_number) as rn
+            from train_rul group by 1, 2) a) b""", "prepared"))
 def _kfold(spark, sf):
-    return folds.group_kfold(labels.rekey_units(fx.split_of(spark, sf, "train")))
+    return folds.group_kfold(fx.split_of(spark, sf, "train"))
 
 
-@query("group_holdout")
+@query("group_holdout", oracle("""
+select subset, unit_number, n_rows, case when rn <= ceil(n * cast(0.1 as double)) then 'valid' else 'train' end as side
+from (select subset, unit_number, count(*) as n_rows, count(*) over () as n,
+             row_number() over (order by md5(concat_ws(':', '45', subset, unit_number)), subset, unit_number) as rn
+      from train_rul group by 1, 2) a""", "prepared"))
 def _holdout(spark, sf):
-    train, valid = folds.group_holdout(labels.rekey_units(fx.split_of(spark, sf, "train")))
-    sides = (d.groupBy("unit_number").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("side", F.lit(s))
+    train, valid = folds.group_holdout(fx.split_of(spark, sf, "train"))
+    sides = (d.groupBy(*SPEC.keys).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("side", F.lit(s))
              for d, s in ((train, "train"), (valid, "valid")))
     return select.union_subsets(*sides)
 
 
-_SCALED = ("setting_1", "s_1", "s_2", "s_7")
+_SCALED = SPEC.base
 
 
 @query("minmax_scale", oracle(

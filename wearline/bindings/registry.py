@@ -19,6 +19,7 @@ _VIEWS = {
     "labels": (fx.TELEMETRY_SQL, fx.LABELS_SQL),
     "prepared": (fx.TELEMETRY_SQL, fx.LABELS_SQL, fx.PREPARED_SQL),
     "feedback": (fx.FEEDBACK_SQL,),
+    "grouped_feedback": (fx.GROUPED_FEEDBACK_SQL,),
     "requests": (fx.REQUESTS_SQL,),
     "registry": (fx.REGISTRY_SQL,),
     "triggers": (fx.TRIGGERS_SQL,),

@@ -7,64 +7,59 @@ from pyspark.sql import functions as F
 from wearline.bindings import fixtures as fx
 from wearline.bindings.registry import oracle, query
 from wearline.functions import absolute_error, rounded
-from wearline.operators import labels, metrics, select
+from wearline.operators import metrics, select
 from wearline.spec import SPEC
 
-# Telemetry with ids unique across groups, and the units of recent feedback.
-REKEYED = "rekeyed as (select * replace (unit_number + 1000 * subset as unit_number) from telemetry)"
 ROW = "subset, unit_number, time_cycles"
+GROUPS = (1, 2, 3, 4)
 
 
-def rekeyed(spark, sf, split):
-    return labels.rekey_units(fx.split_of(spark, sf, split))
-
-
-@query("split_by_subset", oracle("select unit_number, time_cycles, s_2 from telemetry where split = 'train' and subset = 3",
+@query("split_by_subset", oracle("select subset as part, unit_number, time_cycles, s_2 from telemetry where split = 'train'",
                                  "telemetry"))
 def _split(spark, sf):
-    parts = select.split_by_subset(fx.split_of(spark, sf, "train"), (1, 2, 3, 4))
-    return parts[3].select("unit_number", "time_cycles", "s_2")
+    parts = select.split_by_subset(fx.split_of(spark, sf, "train"), GROUPS)
+    return select.union_subsets(*[p.select(F.lit(g).alias("part"), "unit_number", "time_cycles", "s_2") for g, p in parts.items()])
 
 
-@query("union_subsets", oracle("select subset, unit_number, time_cycles from telemetry where split = 'train' and subset in (1, 3)",
-                               "telemetry"))
+@query("union_subsets", oracle(f"select {ROW} from telemetry where split = 'train'", "telemetry"))
 def _union(spark, sf):
-    parts = select.split_by_subset(fx.split_of(spark, sf, "train"), (1, 3))
-    return select.union_subsets(parts[1], parts[3]).select(*SPEC.keys, "time_cycles")
+    parts = select.split_by_subset(fx.split_of(spark, sf, "train"), GROUPS)
+    return select.union_subsets(*parts.values()).select(*SPEC.keys, "time_cycles")
 
 
-@query("units_upto", oracle(f"select {ROW} from rekeyed where split = 'test' and unit_number <= 2010", "telemetry",
-                            ctes=(REKEYED,)))
+@query("units_upto", oracle(f"select {ROW} from telemetry where split = 'test' and (subset, unit_number) <= (2, 10)", "telemetry"))
 def _upto(spark, sf):
-    return select.units_upto(rekeyed(spark, sf, "test"), 2010).select(*SPEC.keys, "time_cycles")
+    return select.units_upto(fx.split_of(spark, sf, "test"), (2, 10)).select(*SPEC.keys, "time_cycles")
 
 
 @query("recent_entities", oracle(f"""
-select {ROW} from rekeyed where split = 'test' and unit_number in (
-  select engine_id from feedback where feedback_timestamp >= timestamp '2024-01-30 00:00:00')""",
-                                 "telemetry", "feedback", ctes=(REKEYED,)))
+select {ROW} from telemetry where split = 'test' and (subset, unit_number) in (
+  select (subset, engine_id) from grouped_feedback where feedback_timestamp >= timestamp '2024-01-30 00:00:00')""",
+                                 "telemetry", "grouped_feedback"))
 def _recent(spark, sf):
-    fb = fx.feedback(spark, sf).filter(F.col("feedback_timestamp") >= F.lit("2024-01-30 00:00:00").cast("timestamp"))
-    return select.recent_entities(rekeyed(spark, sf, "test"), fb).select(*SPEC.keys, "time_cycles")
+    fb = fx.grouped_feedback(spark, sf).filter(F.col("feedback_timestamp") >= F.lit("2024-01-30 00:00:00").cast("timestamp"))
+    return select.recent_entities(fx.split_of(spark, sf, "test"), fb).select(*SPEC.keys, "time_cycles")
 
 
 @query("semi_join_entities", oracle(f"""
-select {ROW} from rekeyed where split = 'test' and unit_number in (
-  select unit_number from rekeyed where split = 'train' and "setting_1" = 0.07)""", "telemetry", ctes=(REKEYED,)))
+select {ROW} from telemetry where split = 'test' and (subset, unit_number) in (
+  select (subset, unit_number) from telemetry where split = 'train')""", "telemetry"))
 def _semi(spark, sf):
-    chosen = rekeyed(spark, sf, "train").filter(F.col("setting_1") == 0.07)
-    return select.semi_join_entities(rekeyed(spark, sf, "test"), chosen).select(*SPEC.keys, "time_cycles")
+    train, test = fx.split_of(spark, sf, "train"), fx.split_of(spark, sf, "test")
+    return select.semi_join_entities(test, train).select(*SPEC.keys, "time_cycles")
 
 
-@query("slice_baseline_current", oracle("""
-select 'baseline' as side, s_2, s_3 from rekeyed where split = 'train' and unit_number % 1000 <= 5
-union all
-select 'current', s_2, s_3 from rekeyed where split = 'train' and unit_number % 1000 > 5""", "telemetry", ctes=(REKEYED,)))
+_SIDE_COLUMNS = ", ".join(SPEC.base)
+
+
+@query("slice_baseline_current", oracle(f"""
+select case when unit_number <= 5 then 'baseline' else 'current' end as side, {_SIDE_COLUMNS}
+from telemetry where split = 'train'""", "telemetry"))
 def _slices(spark, sf):
-    train = rekeyed(spark, sf, "train")
-    units = train.select("unit_number").distinct()
-    low = F.col("unit_number") % 1000 <= 5
-    base, cur = select.slice_baseline_current(train, units.filter(low), units.filter(~low), ["s_2", "s_3"], "unit_number")
+    train = fx.split_of(spark, sf, "train")
+    units = select.distinct_units(train)
+    low = F.col("unit_number") <= 5
+    base, cur = select.slice_baseline_current(train, units.filter(low), units.filter(~low), SPEC.base)
     return base.select(F.lit("baseline").alias("side"), "*").unionByName(cur.select(F.lit("current").alias("side"), "*"))
 
 
@@ -80,17 +75,16 @@ def _model_features(spark, sf):
     return select.select_model_features(fx.split_of(spark, sf, "test"), ["s_9", "setting_1", "s_2"])
 
 
-@query("distinct_units", oracle("select distinct unit_number from rekeyed where split = 'train'", "telemetry", ctes=(REKEYED,)))
+@query("distinct_units", oracle("select distinct subset, unit_number from telemetry where split = 'train'", "telemetry"))
 def _distinct(spark, sf):
-    return select.distinct_units(rekeyed(spark, sf, "train"))
+    return select.distinct_units(fx.split_of(spark, sf, "train"))
 
 
 @query("common_units", oracle("""
-select unit_number from rekeyed where split = 'train' and setting_1 > 0.09
-intersect select unit_number from rekeyed where split = 'test' and setting_1 > 0.09""", "telemetry", ctes=(REKEYED,)))
+select subset, unit_number from telemetry where split = 'train'
+intersect select subset, unit_number from telemetry where split = 'test'""", "telemetry"))
 def _common(spark, sf):
-    a, b = (rekeyed(spark, sf, s).filter(F.col("setting_1") > 0.09) for s in ("train", "test"))
-    return select.common_units(a, b)
+    return select.common_units(fx.split_of(spark, sf, "train"), fx.split_of(spark, sf, "test"))
 
 
 @query("row_prefix_fraction", oracle(f"""
@@ -104,27 +98,41 @@ def _prefix(spark, sf):
 
 
 @query("entity_prefix_fraction", oracle(
-    "select split, subset, unit_number, time_cycles from rekeyed join first_units using (unit_number)", "telemetry",
-    ctes=(REKEYED, """
-units as (select unit_number, row_number() over (order by unit_number) as rn, count(*) over () as n
-          from (select distinct unit_number from rekeyed where split = 'train') d),
-first_units as (select unit_number from units where rn <= greatest(1, floor(n * cast(0.29 as double))))""")))
+    "select split, subset, unit_number, time_cycles from telemetry join first_units using (subset, unit_number)", "telemetry",
+    ctes=("""
+units as (select subset, unit_number, row_number() over (order by subset, unit_number) as rn, count(*) over () as n
+          from (select distinct subset, unit_number from telemetry where split = 'train') d),
+first_units as (select subset, unit_number from units where rn <= greatest(1, floor(n * cast(0.29 as double))))""",)))
 def _entity_prefix(spark, sf):
-    a, b = select.entity_prefix_fraction(rekeyed(spark, sf, "train"), rekeyed(spark, sf, "test"), 0.29)
+    a, b = select.entity_prefix_fraction(fx.split_of(spark, sf, "train"), fx.split_of(spark, sf, "test"), 0.29)
     both = a.withColumn("split", F.lit("train")).unionByName(b.withColumn("split", F.lit("test")))
     return both.select("split", *SPEC.keys, "time_cycles")
 
 
 @query("retrain_fraction", oracle("""
-select count(*) filter (unit_number <= top) / cast(count(*) as double) as fraction
-from (select distinct unit_number from rekeyed where split = 'train') u
-cross join (select max(engine_id) as top from feedback where engine_id < 3000) f""", "telemetry", "feedback", ctes=(REKEYED,)))
+select t.version, count(*) filter ((u.subset, u.unit_number) <= t.top) / cast(count(*) as double) as fraction
+from (select distinct subset, unit_number from telemetry where split = 'train') u
+cross join (
+  select 'all' as version, max((subset, engine_id)) as top from grouped_feedback
+  union all
+  select 'first day', max((subset, engine_id)) from grouped_feedback where feedback_timestamp < timestamp '2024-01-02 00:00:00'
+  union all
+  select 'last hour', max((subset, engine_id)) from grouped_feedback where feedback_timestamp >= timestamp '2024-01-30 23:00:00') t
+group by 1""", "telemetry", "grouped_feedback"))
 def _retrain_fraction(spark, sf):
-    return select.retrain_fraction(rekeyed(spark, sf, "train"),
-                                   fx.feedback(spark, sf).filter(F.col("engine_id") < 3000))
+    train, fb = fx.split_of(spark, sf, "train"), fx.grouped_feedback(spark, sf)
+    at = F.col("feedback_timestamp")
+    spans = {"all": F.lit(True), "first day": at < F.lit("2024-01-02 00:00:00").cast("timestamp"),
+             "last hour": at >= F.lit("2024-01-30 23:00:00").cast("timestamp")}
+    return select.union_subsets(*[select.retrain_fraction(train, fb.filter(c)).withColumn("version", F.lit(v)) for v, c in spans.items()])
 
 
-@query("sample_fraction")
+@query("sample_fraction", oracle(f"""
+select {ROW} from (
+  select *, row_number() over (order by md5(concat_ws(':', '42', subset, unit_number, time_cycles)), subset, unit_number, time_cycles) as rn,
+         count(*) over () as n
+  from telemetry where split = 'test') t
+where rn <= round_even(n * cast(0.25 as double), 0)""", "telemetry"))
 def _sample(spark, sf):
     return select.sample_fraction(fx.split_of(spark, sf, "test"), 0.25, 42, [*SPEC.keys, "time_cycles"]).select(
         *SPEC.keys, "time_cycles")

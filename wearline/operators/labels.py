@@ -11,12 +11,28 @@ from wearline.operators.series import SeriesLayout, add_position, add_series_max
 from wearline.spec import RUL_BANDS, SPEC, UNIT_STRIDE, TelemetrySpec
 
 
-def rekey_units(df: DataFrame, spec: TelemetrySpec = SPEC, stride: int = UNIT_STRIDE,
+def unit_stride(*frames: DataFrame, spec: TelemetrySpec = SPEC, groups: tuple[int, ...] = tuple(RUL_BANDS)) -> int:
+    """The usual stride, or the least power of ten above every id of a listed group: one narrow aggregate a table.
+
+    Tables that are to share ids must share the stride.
+    """
+    stride = UNIT_STRIDE
+    for df in frames:
+        top = df.filter(F.col(spec.group).isin(*groups)).agg(F.max(spec.entity)).first()[0]
+        while top is not None and top >= stride:
+            stride *= 10
+    return stride
+
+
+def rekey_units(df: DataFrame, spec: TelemetrySpec = SPEC, stride: int | None = None,
                 groups: tuple[int, ...] = tuple(RUL_BANDS)) -> DataFrame:
     """Make entity ids unique across groups; groups not listed keep their ids.
 
-    An id outside 0 .. stride - 1 in a listed group would run into another group's ids: it stops the job.
+    Without a stride the table's own `unit_stride` is taken, so a fleet of any size fits. An id outside
+    0 .. stride - 1 in a listed group would run into another group's ids: it stops the job. Operators on entities
+    need no such ids, as they go by (group, entity).
     """
+    stride = unit_stride(df, spec=spec, groups=groups) if stride is None else stride
     g, u = F.col(spec.group), F.col(spec.entity)
     message = F.format_string(f"{spec.entity} %s of {spec.group} %s does not fit the stride {stride}", u, g)
     moved = F.when((u < 0) | (u >= stride), F.raise_error(message)).otherwise(u + g * F.lit(stride))

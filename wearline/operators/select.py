@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wearline.operators.series import SeriesLayout, add_position, add_running_total, plan_series
+from wearline.operators.series import SeriesLayout, add_position, add_running_total, number_rows, plan_series
 from wearline.spec import SPEC, TelemetrySpec
 
+#: Hexadecimal digits by which a sample is counted before its edge is ordered.
+PREFIX = 4
+
 
 def order_telemetry(df: DataFrame, spec: TelemetrySpec = SPEC) -> DataFrame:
     """Total order by group, entity and cycle (a range-partitioned sort)."""
@@ -26,35 +29,55 @@ def split_by_subset(df: DataFrame, groups: Sequence[int], spec: TelemetrySpec =
     return {g: df.filter(F.col(spec.group) == g) for g in groups}
 
 
+def entity_key(*frames: DataFrame, spec: TelemetrySpec = SPEC) -> list[str]:
+    """What identifies an entity: (group, entity), or the entity alone where a table has no group."""
+    return [k for k in spec.keys if k == spec.entity or all(k in f.columns for f in frames)]
+
+
 def distinct_units(df: DataFrame, spec: TelemetrySpec = SPEC) -> DataFrame:
-    return df.select(spec.entity).distinct().orderBy(spec.entity)
+    key = entity_key(df, spec=spec)
+    return df.select(*key).distinct().orderBy(*key)
 
 
 def common_units(left: DataFrame, right: DataFrame, spec: TelemetrySpec = SPEC) -> DataFrame:
-    return left.select(spec.entity).intersect(right.select(spec.entity))
+    key = entity_key(left, right, spec=spec)
+    return left.select(*key).intersect(right.select(*key))
 
 
 def semi_join_entities(df: DataFrame, entities: DataFrame, spec: TelemetrySpec = SPEC) -> DataFrame:
     """Rows whose entity is listed. The list is made distinct and left to the optimizer, which
     broadcasts it only under its size threshold and splits skewed keys otherwise."""
-    return df.join(entities.select(spec.entity).distinct(), spec.entity, "left_semi")
+    key = entity_key(df, entities, spec=spec)
+    return df.join(entities.select(*key).distinct(), key, "left_semi")
+
+
+def feedback_entities(feedback: DataFrame, spec: TelemetrySpec = SPEC) -> DataFrame:
+    """The entities that feedback names: its group, where it has one, and its engine."""
+    return feedback.select(*[c for c in (spec.group,) if c in feedback.columns], F.col("engine_id").alias(spec.entity))
 
 
 def recent_entities(df: DataFrame, feedback: DataFrame, spec: TelemetrySpec = SPEC) -> DataFrame:
-    """Rows of entities that appear in the given feedback."""
-    return semi_join_entities(df, feedback.select(F.col("engine_id").alias(spec.entity)), spec)
+    """Rows of entities that appear in the given feedback. Feedback without a group column names entities of `df`
+    by ids that are unique across groups."""
+    return semi_join_entities(df, feedback_entities(feedback, spec), spec)
+
 
+def _upto(bound: tuple[int, int] | int, spec: TelemetrySpec) -> Column:
+    if not isinstance(bound, tuple):
+        return F.col(spec.entity) <= bound
+    group, entity = bound
+    return (F.col(spec.group) < group) | ((F.col(spec.group) == group) & (F.col(spec.entity) <= entity))
 
-def units_upto(df: DataFrame, bound: int, spec: TelemetrySpec = SPEC) -> DataFrame:
-    return df.filter(F.col(spec.entity) <= bound)
+
+def units_upto(df: DataFrame, bound: tuple[int, int] | int, spec: TelemetrySpec = SPEC) -> DataFrame:
+    """Rows of the entities up to (group, entity) in their order, or up to an entity id."""
+    return df.filter(_upto(bound, spec))
 
 
 def slice_baseline_current(df: DataFrame, trained: DataFrame, new: DataFrame, features: Sequence[str],
-                           entity: str) -> tuple[DataFrame, DataFrame]:
+                           spec: TelemetrySpec = SPEC) -> tuple[DataFrame, DataFrame]:
     """Feature rows of the trained and of the new entities."""
-    def part(ids: DataFrame) -> DataFrame:
-        return df.join(ids.select(entity).distinct(), entity, "left_semi").select(*features)
-    return part(trained), part(new)
+    return tuple(semi_join_entities(df, ids, spec).select(*features) for ids in (trained, new))
 
 
 def input_example(df: DataFrame, features: Sequence[str], spec: TelemetrySpec = SPEC) -> DataFrame:
@@ -96,11 +119,11 @@ def row_prefix_fraction(df: DataFrame, fraction: float, spec: TelemetrySpec = SP
 
 
 def entity_prefix(df: DataFrame, fraction: float, spec: TelemetrySpec = SPEC) -> DataFrame:
-    """The smallest max(1, int(n * fraction)) entity ids. The product is a truncated double on purpose."""
-    units = df.select(spec.entity).distinct()
+    """The first max(1, int(n * fraction)) entities by group and id. The product is a truncated double on purpose."""
+    key = entity_key(df, spec=spec)
+    units = df.select(*key).distinct()
     n = units.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) * F.lit(float(fraction)))).alias("_k"))
-    # Ids are numbered by a sort and a per-range offset, never in one task.
-    return _numbered(units, spec.entity).join(F.broadcast(n), F.col("_rn") <= F.col("_k")).select(spec.entity)
+    return number_rows(units, key, "_rn").join(F.broadcast(n), F.col("_rn") <= F.col("_k")).select(*key)
 
 
 def entity_prefix_fraction(train: DataFrame, test: DataFrame, fraction: float,
@@ -111,26 +134,43 @@ def entity_prefix_fraction(train: DataFrame, test: DataFrame, fraction: float,
 
 
 def retrain_fraction(train: DataFrame, feedback: DataFrame, spec: TelemetrySpec = SPEC) -> DataFrame:
-    """Share of training entities with an id up to the highest one in the feedback; 1.0 without entities."""
-    top = feedback.agg(F.max("engine_id").alias("_top"))
-    units = train.select(spec.entity).distinct().crossJoin(F.broadcast(top))
-    return units.agg(F.coalesce(F.try_divide(F.count_if(F.col(spec.entity) <= F.col("_top")), F.count(F.lit(1))),
+    """Share of training entities up to the last one, by group and id, in the feedback; 1.0 without entities."""
+    named = feedback_entities(feedback, spec)
+    key = entity_key(train, named, spec=spec)
+    top = named.agg(F.max(F.struct(*key)).alias("_top"))
+    units = train.select(*key).distinct().crossJoin(F.broadcast(top))  # one row
+    return units.agg(F.coalesce(F.try_divide(F.count_if(F.struct(*key) <= F.col("_top")), F.count(F.lit(1))),
                                 F.lit(1.0)).alias("fraction"))
 
 
+def seeded_hash(key: Sequence[str], seed: int) -> Column:
+    """MD5 of `seed:key:...`, in hexadecimal; a NULL part of the key is empty."""
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *parts).cast("binary"))
+
+
+def smallest(df: DataFrame, order_by: Sequence[str], count: Column) -> DataFrame:
+    """Exactly `count` (an aggregate over `df`) rows, the first by `order_by`, whose first column is a hexadecimal hash.
+
+    Rows are counted by the hash's first digits (at most 16 ** PREFIX counts). Rows below the digits on which the
+    count runs out are taken as they are; only the rows on those digits, about one in 16 ** PREFIX, are ordered.
+    """
+    digits = F.substring(order_by[0], 1, PREFIX)
+    rows = df.withColumn("_digits", digits)
+    counts = rows.groupBy("_digits").agg(F.count(F.lit(1)).alias("_n"))
+    wanted = df.agg(count.cast("bigint").alias("_k"))
+    upto = F.sum("_n").over(Window.orderBy("_digits"))  # at most 16 ** PREFIX rows
+    edge = counts.withColumn("_upto", upto).crossJoin(F.broadcast(wanted)).withColumn("_left", F.col("_k") - F.col("_upto") + F.col("_n"))
+    marked = rows.join(F.broadcast(edge.filter("_left > 0").select("_digits", "_n", "_left")), "_digits")
+    whole = marked.filter("_left >= _n")
+    cut = number_rows(marked.filter("_left < _n"), list(order_by), "_rn").filter("_rn <= _left").drop("_rn")
+    return whole.unionByName(cut).select(*df.columns)
+
+
 def sample_fraction(df: DataFrame, fraction: float, seed: int, key: Sequence[str]) -> DataFrame:
-    """Repeatable sample: the same keys are kept whatever the partitioning. The size is approximate."""
-    scale = 1_000_000
-    return df.filter(F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(scale)) < F.lit(int(fraction * scale)))
-
-
-def _numbered(ids: DataFrame, column: str, slices: int = 1024) -> DataFrame:
-    """Number distinct ids 1, 2, ... by value: rank within an id slice plus the count of earlier slices."""
-    bounds = ids.agg(F.min(column).alias("_lo"), (F.max(column) - F.min(column) + 1).alias("_span"))
-    sliced = ids.crossJoin(F.broadcast(bounds)).withColumn(
-        "_slice", F.floor((F.col(column) - F.col("_lo")) / F.col("_span") * slices)).drop("_lo", "_span")
-    counts = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))  # at most `slices` rows
-    before = F.sum("_n").over(Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("_slice", F.coalesce(before, F.lit(0)).alias("_offset"))
-    rn = F.row_number().over(Window.partitionBy("_slice").orderBy(column)) + F.col("_offset")
-    return sliced.join(F.broadcast(offsets), "_slice").withColumn("_rn", rn).drop("_slice", "_offset")
+    """Repeatable sample of n * fraction rows, rounded half to even: the least by a seeded hash of `key`, whatever the partitioning.
+
+    `key` should tell rows apart: of rows with the same key on the edge of the sample any may be taken.
+    """
+    rows = df.withColumn("_hash", seeded_hash(key, seed))
+    return smallest(rows, ["_hash", *key], F.bround(F.count(F.lit(1)) * F.lit(float(fraction)))).drop("_hash")

@@ -7,9 +7,12 @@ Otherwise the rows of the long entities are cut along the order column into bloc
 few rows a trailing frame needs from before a block are copied into it and dropped after the
 window. The result is the same row for row.
 
-How blocks are found: each long entity's order range is cut into equal-width slices, whose row
-counts come from a map-side aggregate; neighbouring slices are then packed into blocks. All
-tables involved are bounded by the number of slices (at most 2 * SLICES * MAX_BLOCKS rows).
+How blocks are found: each long entity's order values are cut at approximate quantiles, so a burst
+or a value far off does not fill one slice; row counts of the slices come from a map-side aggregate,
+and neighbouring slices are packed into blocks. All tables involved are bounded: at most MAX_BLOCKS
+entities can be long, and an entity has at most SLICES slices per block.
+
+`number_rows` numbers a whole table in one order, without a sort in one task.
 """
 
 from __future__ import annotations
@@ -18,14 +21,17 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from wearline.session import stored
+
 ROWS_PER_BLOCK = 2_000_000
 MAX_BLOCKS = 4096
-SLICES = 16
+SLICES = 4
 
-_SLICE, _BLOCK, _HALO, _START = "_slice", "_block", "_halo", "_block_start"
+_SLICE, _BLOCK, _HALO, _START, _CUTS = "_slice", "_block", "_halo", "_block_start", "_cuts"
 
 
 @dataclass(frozen=True)
@@ -50,9 +56,7 @@ def plan_series(df: DataFrame, keys: tuple[str, ...], order: str, *,
     `order` must be numeric or a timestamp and NOT NULL. Equal order values stay in one block.
     """
     where = _number(df, order)
-    bounds = ((F.lit(1.0).alias("_lo"), F.count(F.lit(1)).cast("double").alias("_hi")) if dense
-              else (F.min(where).alias("_lo"), F.max(where).alias("_hi")))
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *bounds)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total, longest = sizes.agg(F.sum("_n"), F.max("_n")).first()
     if longest is None or longest <= rows_per_block:
         return SeriesLayout(keys, order, rows_per_block)
@@ -62,9 +66,19 @@ def plan_series(df: DataFrame, keys: tuple[str, ...], order: str, *,
     long_rows = sizes.filter(F.col("_n") > block_rows).collect()
     if not long_rows:
         return SeriesLayout(keys, order, block_rows)
-    long_series = df.sparkSession.createDataFrame(long_rows, sizes.schema).select(
-        *keys, "_lo", (SLICES * F.ceil(F.col("_n") / block_rows)).alias("_k"),
-        (F.col("_hi") - F.col("_lo")).alias("_span"))
+    n = SLICES * math.ceil(longest / block_rows)
+    points = np.arange(1, n) / n
+    named = {k: f"_key_{i}" for i, k in enumerate(keys)}
+    long_keys = df.sparkSession.createDataFrame(long_rows, sizes.schema).withColumnsRenamed(named)
+    if dense:
+        cuts = F.transform(F.lit(points), lambda p: F.ceil(p * F.col("_n")) + F.lit(1.0))
+        found = long_keys.select(*named.values(), cuts.alias(_CUTS))
+    else:
+        same = [F.col(k).eqNullSafe(F.col(c)) for k, c in named.items()]
+        own = df.select(*keys, where.alias("_where")).join(F.broadcast(long_keys), same)
+        found = own.groupBy(*named.values()).agg(F.percentile_approx("_where", F.lit(points), 4 * n).alias(_CUTS))
+    # Several passes read the cuts, and every one of them must see the same.
+    long_series = stored(found.withColumnsRenamed({c: k for k, c in named.items()}), "cuts")
 
     counts = (_with_slice(df, keys, order, long_series, "inner")
               .groupBy(*keys, _SLICE).agg(F.count(F.lit(1)).alias("_n")))
@@ -156,9 +170,35 @@ def _number(df: DataFrame, name: str) -> Column:
 
 
 def _with_slice(df: DataFrame, keys: tuple[str, ...], order: str, long_series: DataFrame, how: str) -> DataFrame:
-    """Slice number of each row of a long entity; NULL for the others."""
-    share = (_number(df, order) - F.col("_lo")) / F.when(F.col("_span") > 0, F.col("_span"))
-    number = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * F.col("_k")), F.col("_k") - 1)
+    """Slice of each row of a long entity, the number of cuts at or below its order value; NULL for the others."""
+    where = _number(df, order)
+    levels = (SLICES * MAX_BLOCKS * 2).bit_length()
+
+    def halved(at: Column, step: Column) -> Column:
+        passed = (at + step <= F.size(_CUTS)) & (F.get(F.col(_CUTS), at + step - 1) <= where)
+        return F.when(passed, at + step).otherwise(at)
+
+    steps = F.array(*[F.lit(2 ** k) for k in reversed(range(levels))])
+    number = F.aggregate(steps, F.lit(0), halved)
     return (df.join(F.broadcast(long_series), list(keys), how)
-            .withColumn(_SLICE, F.when(F.col("_k").isNotNull(), number))
-            .drop("_lo", "_k", "_span"))
+            .withColumn(_SLICE, F.when(F.col(_CUTS).isNotNull(), number).cast("bigint"))
+            .drop(_CUTS))
+
+
+def number_rows(df: DataFrame, order_by: list[str], name: str, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """Number all rows 1, 2, ... by `order_by`, whose columns must tell rows apart where the number matters.
+
+    A table of more than `rows_per_block` rows is dealt into ranges at sampled quantiles of all of `order_by`, so
+    ties of the first column are cut too; rows are numbered within their range and moved up by the rows before it.
+    The ranges are written to the shared folder first: what is numbered later is what was counted.
+    """
+    blocks = -(-df.count() // rows_per_block)
+    if blocks <= 1:
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*order_by)).cast("bigint"))
+    ranged = stored(df.repartitionByRange(blocks, *order_by).withColumn(_BLOCK, F.spark_partition_id()), "ranges")
+    counts = ranged.groupBy(_BLOCK).agg(F.count(F.lit(1)).alias("_n"))  # one row a range
+    before = F.sum("_n").over(Window.orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(_BLOCK, F.coalesce(before, F.lit(0)).alias(_START))
+    inside = F.row_number().over(Window.partitionBy(_BLOCK).orderBy(*order_by))
+    return (ranged.withColumn(name, inside).join(F.broadcast(offsets), _BLOCK)
+            .withColumn(name, (F.col(name) + F.col(_START)).cast("bigint")).drop(_BLOCK, _START))
