@@ -5,19 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wearline.bindings import fixtures as fx
-from wearline.bindings.features import FEATURED_CTES, PRODUCT_SQL
+from wearline.bindings.features import FEATURED_CTES
 from wearline.bindings.ready import ready_tables
 from wearline.bindings.registry import oracle, query
 from wearline.functions import rounded
 from wearline.operators import drift, features
-from wearline.session import fresh_path
-from wearline.plans.drift_check import Baseline, drift_check, recent_feedback
-from wearline.spec import SPEC
+from wearline.plans.drift_check import Baseline, drift_check, kept_baseline, recent_feedback
+from wearline.session import fresh_path, stored
 
 PHYSICAL = [n for names in features.PHYSICAL_NAMES.values() for n in names]
-COLUMNS = [*SPEC.base, *PHYSICAL]
 ALL_FEATURES = features.feature_names()
-_PHYSICAL_SQL = ", ".join(PRODUCT_SQL[b] for b in features.PHYSICAL_NAMES)
 
 
 def long_ctes(columns: list[str], source: str) -> tuple[str, ...]:
@@ -56,61 +53,60 @@ gaps as (select feature, abs(sum(b) over upto / cast(sum(b) over f as double) -
          from steps window f as (partition by feature), upto as (partition by feature order by value rows unbounded preceding))""", """
 ks as (select feature, max(gap) as ks from gaps group by 1)""")
 
-PLAIN = ("sided as (select *, case when split = 'train' then 0 else 1 end as side, " + _PHYSICAL_SQL + " from telemetry)",
-         *long_ctes(COLUMNS, "sided"))
-ONE = ("sided as (select *, case when split = 'train' then 0 else 1 end as side from telemetry)",
-       *long_ctes(["s_7"], "sided"))
-SCORES = (*PLAIN, *PSI_CTES, *KS_CTES, "scores as (select feature, psi, ks from psi join ks using (feature))")
+# The ready training table as the baseline, all test rows as the current sample.
+LABELLED = """
+labelled as (select *, unit_number + 1000 * subset as unit,
+               max(time_cycles) over (partition by split, subset, unit_number) - time_cycles as rul from featured)"""
+BAND = "((subset in (1, 3) and rul between 6 and 145) or (subset in (2, 4) and rul between 6 and 194))"
 
 
-_stored: dict[tuple[str, str], str] = {}
+def both_sides(columns):
+    return (*FEATURED_CTES, LABELLED, f"""
+sided as (select case when split = 'train' then 0 else 1 end as side, * from labelled where split = 'test' or {BAND})""",
+            *long_ctes(columns, "sided"))
 
 
-def sides(spark, sf, columns=COLUMNS):
-    """Train rows as the baseline, test rows as the current sample, from a table stored once per session."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _stored:
-        df = fx.telemetry(spark, sf)
-        for op in (features.temperature_features, features.pressure_features, features.speed_features,
-                   features.fuel_air_features, features.cross_system_features):
-            df = op(df)
-        path = fresh_path(spark, "samples")
-        df.select("split", *COLUMNS).write.partitionBy("split").parquet(path)
-        _stored[key] = path
-    df = spark.read.parquet(_stored[key])
-    return (df.filter(F.col("split") == s).select(*columns) for s in ("train", "test"))
+PLAIN = both_sides(ALL_FEATURES)
+SCORES = (*PLAIN, *PSI_CTES, *KS_CTES, "scores as (select feature, psi, ks from psi join ks using (feature))")
+ONE = ["s_7"]
+
+
+def sides(spark, sf, columns=ALL_FEATURES):
+    """Baseline and current sample of the ready tables."""
+    t = ready_tables(spark, sf)
+    return t.train.select(*columns), t.test.select(*columns)
 
 
 @query("quantile_bins", oracle("select feature, i - 1 as bin, round(e[i], 6) as edge from edges cross join (select unnest(range(1, 12)) as i) r",
                                "telemetry", ctes=(*PLAIN, *EDGE_CTES)))
 def _quantile_bins(spark, sf):
     base, _ = sides(spark, sf)
-    out = drift.quantile_bins(base, COLUMNS).select("feature", F.posexplode("edges").alias("bin", "edge"))
+    out = drift.quantile_bins(base, ALL_FEATURES).select("feature", F.posexplode("edges").alias("bin", "edge"))
     return out.select("feature", F.col("bin").cast("bigint").alias("bin"), rounded("edge").alias("edge"))
 
 
-@query("psi", oracle("select feature, round(psi, 6) as psi from psi", "telemetry", ctes=(*ONE, *PSI_CTES)))
+@query("psi", oracle("select feature, round(psi, 6) as psi from psi", "telemetry", ctes=(*both_sides(ONE), *PSI_CTES)))
 def _psi(spark, sf):
-    base, cur = sides(spark, sf, ["s_7"])
-    return drift.psi_per_feature(base, cur, ["s_7"]).withColumn("psi", rounded("psi"))
+    base, cur = sides(spark, sf, ONE)
+    return drift.psi_per_feature(base, cur, ONE).withColumn("psi", rounded("psi"))
 
 
-@query("ks", oracle("select feature, round(ks, 6) as ks from ks", "telemetry", ctes=(*ONE, *KS_CTES)))
+@query("ks", oracle("select feature, round(ks, 6) as ks from ks", "telemetry", ctes=(*both_sides(ONE), *KS_CTES)))
 def _ks(spark, sf):
-    base, cur = sides(spark, sf, ["s_7"])
-    return drift.ks_per_feature(base, cur, ["s_7"]).withColumn("ks", rounded("ks"))
+    base, cur = sides(spark, sf, ONE)
+    return drift.ks_per_feature(base, cur, ONE).withColumn("ks", rounded("ks"))
 
 
 @query("psi_per_feature", oracle("select feature, round(psi, 6) as psi from psi", "telemetry", ctes=(*PLAIN, *PSI_CTES)))
 def _psi_per_feature(spark, sf):
     base, cur = sides(spark, sf)
-    return drift.psi_per_feature(base, cur, COLUMNS).withColumn("psi", rounded("psi"))
+    return drift.psi_per_feature(base, cur, ALL_FEATURES).withColumn("psi", rounded("psi"))
 
 
 @query("ks_per_feature", oracle("select feature, round(ks, 6) as ks from ks", "telemetry", ctes=(*PLAIN, *KS_CTES)))
 def _ks_per_feature(spark, sf):
     base, cur = sides(spark, sf)
-    return drift.ks_per_feature(base, cur, COLUMNS).withColumn("ks", rounded("ks"))
+    return drift.ks_per_feature(base, cur, ALL_FEATURES).withColumn("ks", rounded("ks"))
 
 
 # Levels that the test data actually crosses.
@@ -123,7 +119,7 @@ select feature, case when psi >= 0.001 then 'alert' when psi >= 0.0005 then 'war
                                       "telemetry", ctes=SCORES))
 def _levels(spark, sf):
     base, cur = sides(spark, sf)
-    return drift.feature_levels(drift.drift_scores(base, cur, COLUMNS), TIGHT).drop("psi", "ks")
+    return drift.feature_levels(drift.drift_scores(base, cur, ALL_FEATURES), TIGHT).drop("psi", "ks")
 
 
 _STATS = """count(psi) as n_features, round(avg(psi), 6) as avg_psi, round(max(psi), 6) as max_psi,
@@ -135,7 +131,7 @@ _STATS = """count(psi) as n_features, round(avg(psi), 6) as avg_psi, round(max(p
 @query("drift_summary_stats", oracle(f"select {_STATS} from scores", "telemetry", ctes=SCORES))
 def _stats(spark, sf):
     base, cur = sides(spark, sf)
-    out = drift.drift_summary_stats(drift.drift_scores(base, cur, COLUMNS), TIGHT)
+    out = drift.drift_summary_stats(drift.drift_scores(base, cur, ALL_FEATURES), TIGHT)
     return out.select("n_features", *[rounded(c).alias(c) for c in out.columns[1:]])
 
 
@@ -159,7 +155,7 @@ from scores cross join errors group by model_version, current_rmse""", "telemetr
 def _evaluate(spark, sf):
     base, cur = sides(spark, sf)
     t = drift.DriftThresholds(psi_warn=0.0005, psi_alert=0.001)
-    out = drift.evaluate_drift(drift.drift_scores(base, cur, COLUMNS), version_errors(spark, sf), t)
+    out = drift.evaluate_drift(drift.drift_scores(base, cur, ALL_FEATURES), version_errors(spark, sf), t)
     return out.select("model_version", *[rounded(c).alias(c) for c in ("current_rmse", "avg_psi", "avg_ks")],
                       "rmse_warn", "rmse_alert", "should_retrain",
                       F.size("psi_alert_features").cast("bigint").alias("n_psi_alert"),
@@ -175,47 +171,86 @@ from scores cross join errors group by model_version, current_rmse""", "telemetr
 def _gauges(spark, sf):
     base, cur = sides(spark, sf)
     t = drift.DriftThresholds(psi_warn=0.0005, psi_alert=0.001)
-    out = drift.drift_gauges(drift.evaluate_drift(drift.drift_scores(base, cur, COLUMNS), version_errors(spark, sf), t), t)
+    out = drift.drift_gauges(drift.evaluate_drift(drift.drift_scores(base, cur, ALL_FEATURES), version_errors(spark, sf), t), t)
     return out.select("model_version", rounded("rmse_warn_threshold").alias("rmse_warn_threshold"),
                       rounded("rmse_alert_threshold").alias("rmse_alert_threshold"), "rmse_flag", "psi_flag", "ks_flag")
 
 
-NOW, BACK = "2024-01-30 00:00:00", 86_400
-CHECK_CTES = (
-    *FEATURED_CTES,
-    "recent as (select * from feedback where feedback_timestamp >= timestamp '2024-01-29 00:00:00')", """
-labelled as (select *, unit_number + 1000 * subset as unit,
-               max(time_cycles) over (partition by split, subset, unit_number) - time_cycles as rul from featured)""", """
+@query("drift_score_maps", oracle("select feature, round(psi, 6) as psi, round(ks, 6) as ks from scores", "telemetry", ctes=SCORES))
+def _score_maps(spark, sf):
+    """The maps of the report, one row per entry."""
+    base, cur = sides(spark, sf)
+    errors = spark.createDataFrame([(0.0, 0.0)], "current_rmse double, baseline_rmse double")
+    report = drift.evaluate_drift(stored(drift.drift_scores(base, cur, ALL_FEATURES), "scores"), errors)
+    rows = report.select("ks_scores", F.explode("psi_scores").alias("feature", "psi"))
+    return rows.select("feature", rounded("psi").alias("psi"), rounded(F.element_at("ks_scores", F.col("feature"))).alias("ks"))
+
+
+# -- the check ----------------------------------------------------------------------------------
+
+NOW, BACK, FRACTION, BASE_RMSE = "2024-01-30 00:00:00", 86_400, 0.5, 15.0
+
+
+def check_ctes(since: str) -> tuple[str, ...]:
+    return (*FEATURED_CTES, LABELLED, f"recent as (select * from feedback where feedback_timestamp >= {since})", f"""
 banded as (select *, row_number() over (order by subset, unit_number, time_cycles) as rn, count(*) over () as n
-           from labelled where split = 'train' and ((subset in (1, 3) and rul between 6 and 145)
-                                                 or (subset in (2, 4) and rul between 6 and 194)))""", """
-both_sides as (select 0 as side, * exclude (rn, n) from banded where rn <= floor(n * cast(0.5 as double))
+           from labelled where split = 'train' and {BAND})""", f"""
+both_sides as (select 0 as side, * exclude (rn, n) from banded where rn <= floor(n * cast({FRACTION} as double))
           union all
           select 1 as side, * from labelled where split = 'test' and rul = 0 and unit in (select engine_id from recent))""",
-    *long_ctes(ALL_FEATURES, "both_sides"), *PSI_CTES, *KS_CTES,
-    "scores as (select feature, psi, ks from psi join ks using (feature))", """
-train_units as (select distinct unit from banded)""")
+            *long_ctes(ALL_FEATURES, "both_sides"), *PSI_CTES, *KS_CTES,
+            "scores as (select feature, psi, ks from psi join ks using (feature))", f"""
+checked as (
+  select (select count(*) from recent) as n_feedback,
+         (select sqrt(avg((actual_rul - predicted_rul) * (actual_rul - predicted_rul))) from recent) as current_rmse,
+         count(*) as n_features, avg(psi) as avg_psi, max(psi) as max_psi, avg(ks) as avg_ks, max(ks) as max_ks,
+         count(*) filter (psi >= 0.25) / cast(count(*) as double) as psi_alert_ratio,
+         count(*) filter (ks >= 0.2) / cast(count(*) as double) as ks_alert_ratio,
+         (select count(*) filter (unit <= (select max(engine_id) from recent)) / cast(count(*) as double)
+          from (select distinct unit from banded) u) as fraction
+  from scores)""", f"""
+decided as (select *, avg_psi >= 0.1 or avg_ks >= 0.1 or current_rmse > {BASE_RMSE} * 1.1::double as should_retrain from checked)""")
+
+
+_stores: dict[tuple[str, str], str] = {}
+
+
+def check_baseline(spark, sf) -> Baseline:
+    """Half of the ready training table, with a folder for its statistics that lasts for the session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _stores:
+        _stores[key] = fresh_path(spark, "baselines")
+    return Baseline(ready_tables(spark, sf).train, FRACTION, BASE_RMSE, version="1.0", store=_stores[key])
 
 
 def check_now(spark, sf):
     """The drift check on the ready tables, as of a fixed instant."""
-    tables = ready_tables(spark, sf)
     recent = recent_feedback(fx.feedback(spark, sf), F.lit(NOW).cast("timestamp"), BACK)
-    return drift_check(recent, Baseline(tables.train, 0.5, 15.0), tables.test_last_rows, ALL_FEATURES)
+    return drift_check(recent, check_baseline(spark, sf), ready_tables(spark, sf).test_last_rows, ALL_FEATURES)
 
 
-@query("drift_check", oracle("""
-select (select count(*) from recent) as n_feedback,
-       (select round(sqrt(avg((actual_rul - predicted_rul) * (actual_rul - predicted_rul))), 6) from recent) as current_rmse,
-       count(*) as n_features, round(avg(psi), 6) as avg_psi, round(max(psi), 6) as max_psi,
-       round(avg(ks), 6) as avg_ks, round(max(ks), 6) as max_ks,
-       round(count(*) filter (psi >= 0.25) / cast(count(*) as double), 6) as psi_alert_ratio,
-       round(count(*) filter (ks >= 0.2) / cast(count(*) as double), 6) as ks_alert_ratio,
-       true as should_retrain,
-       (select round(count(*) filter (unit <= (select max(engine_id) from recent)) / cast(count(*) as double), 6)
-        from train_units) as retrain_on
-from scores""", "telemetry", "feedback", ctes=CHECK_CTES))
+CHECKED = ("current_rmse", "avg_psi", "max_psi", "avg_ks", "max_ks", "psi_alert_ratio", "ks_alert_ratio")
+CHECKED_SQL = ", ".join(f"round({c}, 6) as {c}" for c in CHECKED) + """,
+       should_retrain, round(case when should_retrain then fraction end, 6) as retrain_on"""
+
+
+@query("drift_check", oracle(f"select n_feedback, n_features, {CHECKED_SQL} from decided", "telemetry", "feedback",
+                             ctes=check_ctes("timestamp '2024-01-29 00:00:00'")))
 def _drift_check(spark, sf):
     out = check_now(spark, sf)
-    numbers = ("current_rmse", "avg_psi", "max_psi", "avg_ks", "max_ks", "psi_alert_ratio", "ks_alert_ratio", "retrain_on")
-    return out.select("n_feedback", "n_features", "should_retrain", *[rounded(c).alias(c) for c in numbers])
+    return out.select("n_feedback", "n_features", "should_retrain", *[rounded(c).alias(c) for c in (*CHECKED, "retrain_on")])
+
+
+@query("drift_baseline", oracle("""
+select feature, i - 1 as bin, count(*) filter (side = 0 and value >= e[1] and value <= e[11]
+         and len(list_filter(e[1:10], lambda x: x <= value)) = i) as n, round(any_value(e[i]), 6) as edge
+from cells join edges using (feature) cross join (select unnest(range(1, 11)) as i) r group by 1, 2""", "telemetry", "feedback",
+                                ctes=check_ctes("timestamp '2024-01-29 00:00:00'")))
+def _drift_baseline(spark, sf):
+    """Edges and counts per bin that are kept for the trained part, from which every check of it starts."""
+    kept, _ = kept_baseline(check_baseline(spark, sf), ALL_FEATURES)
+    edges = spark.read.parquet(f"{kept.path}/edges").select("fid", F.posexplode("edges").alias("bin", "edge")).filter("bin < 10")
+    names = F.lit(ALL_FEATURES).cast("array<string>")
+    out = edges.join(spark.read.parquet(f"{kept.path}/bins"), ["fid", "bin"], "left")
+    return out.select(F.get(names, F.col("fid")).alias("feature"), F.col("bin").cast("bigint").alias("bin"),
+                      F.coalesce("b", F.lit(0).cast("long")).alias("n"), rounded("edge").alias("edge"))

@@ -49,10 +49,10 @@ rul_labels as (
          cast(6 + (unit_number * 13 + subset * 7) % 140 as bigint) as rul
   from (select distinct subset, unit_number from telemetry where split = 'test') u)"""
 
-RECORD_ID_SQL = """'fb_' || substr(md5(concat_ws('|', coalesce(prediction_id, ''), coalesce(cast(engine_id as varchar), ''),
+RECORD_ID_SQL = """'fb_' || substr(md5(concat_ws('|', coalesce(replace(replace(prediction_id, '\\', '\\\\'), '|', '\\|'), ''), coalesce(cast(engine_id as varchar), ''),
          coalesce(cast(cast(round(actual_rul * 1000000) as bigint) as varchar), ''),
          coalesce(cast(cast(round(predicted_rul * 1000000) as bigint) as varchar), ''),
-         coalesce(cast(epoch_us(feedback_timestamp) as varchar), ''), coalesce(model_version, ''))), 1, 16)"""
+         coalesce(cast(epoch_us(feedback_timestamp) as varchar), ''), coalesce(replace(replace(model_version, '\\', '\\\\'), '|', '\\|'), ''))), 1, 16)"""
 
 FEEDBACK_SQL = """
 feedback as (

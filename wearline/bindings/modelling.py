@@ -8,14 +8,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wearline.bindings import fixtures as fx
-from wearline.bindings.drift import ALL_FEATURES
+from wearline.bindings.drift import ALL_FEATURES, CHECKED, CHECKED_SQL, check_baseline, check_ctes
 from wearline.bindings.monitoring import DAY, QUARTER, RMSE_SQL, plain_times, windowed_sql
 from wearline.bindings.ready import ready_tables
 from wearline.bindings.registry import oracle, query
 from wearline.functions import rounded
 from wearline.operators import model as ml
 from wearline.plans import retrain
-from wearline.plans.drift_check import Baseline
 from wearline.session import fresh_path
 from wearline.sources.models import load_model_bundle, read_model_runs, read_registry
 from wearline.spec import SPEC, ForestParams
@@ -176,15 +175,18 @@ def _trigger_stream(spark, sf):
     return plain_times(run_to_end(df, paths(spark, "triggers")))
 
 
-@query("drift_check_stream")
+@query("drift_check_stream", oracle("""
+select (select date_trunc('microseconds', max(feedback_timestamp)) from feedback) as check_time, n_feedback, n_features, """
+                                    + CHECKED_SQL + " from decided", "telemetry", "feedback",
+                                    ctes=check_ctes("(select max(feedback_timestamp) from feedback) - interval 1 day")))
 def _drift_stream(spark, sf):
     at, t = paths(spark, "checks"), ready_tables(spark, sf)
     writer = sfb.drift_check_stream(
         fx.feedback_of(event_stream(spark, sf)), at("store"), at("log"), at("checkpoint"),
-        lambda: Baseline(t.train, 0.5, 15.0), t.test_last_rows, FEATURES, DAY, event_time=True)
+        lambda: check_baseline(spark, sf), t.test_last_rows, ALL_FEATURES, DAY, event_time=True)
     writer.trigger(availableNow=True).start().awaitTermination()
     return plain_times(spark.read.parquet(at("log")).select(
-        "check_time", "n_feedback", "current_rmse", "avg_psi", "avg_ks", "should_retrain", "retrain_on"))
+        "check_time", "n_feedback", "n_features", "should_retrain", *[rounded(c).alias(c) for c in (*CHECKED, "retrain_on")]))
 
 
 @query("score_stream")

@@ -1,9 +1,10 @@
 """Distribution drift (PSI, KS) of many features at once, drift levels and the retrain decision.
 
-All passes work on rows (feature id, value, side) of both samples, combine before the shuffle
-and return one row per feature. Exact results come from the ladder of `ladder.py`: totals per
-bucket say which buckets can hold a wanted quantile or the largest distribution distance, and
-only the distinct values of those buckets are shuffled and ordered.
+Exact results come from the ladder of `ladder.py`: totals per bucket say which buckets can hold a wanted
+quantile or the largest distribution distance, and only the distinct values of those buckets are shuffled
+and ordered. A baseline that is checked again and again keeps its statistics (`keep_statistics`): ladder,
+totals, edges, bin counts and distinct values by bucket. A check then reads the current sample, the small
+tables and the values of the few buckets that matter, and the baseline rows not at all.
 
 NULL and NaN cells are left out on both sides; `dropped_cells` reports how many.
 """
@@ -13,7 +14,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,33 +26,132 @@ from wearline.spec import DriftThresholds
 
 N_BINS = 10
 EPSILON = 1e-6
+#: Rows in open buckets that KS orders at most, while cutting the buckets further still helps.
+KS_ROWS = 4_000_000
+#: Parts an open bucket is cut into, cuts of all features together, and rounds.
+KS_PARTS, KS_CUTS, KS_ROUNDS = 256, 4_000_000, 6
 
 
 @dataclass(frozen=True)
 class Samples:
-    """Baseline and current sample, bucketed: rows (fid, value, bucket, b, c) with b + c = 1."""
+    """Baseline (b) and current sample (c): wide rows with `side`, cuts per feature and totals per bucket."""
 
     features: tuple[str, ...]
-    cells: DataFrame
+    rows: DataFrame
+    cuts: list[np.ndarray]
     totals: DataFrame
 
+    def values(self, wanted: dict[int, list[int]]) -> DataFrame:
+        return ladder.count_values(self.rows, self.cuts, wanted)
+
+    def binned(self, edges: dict[int, list[float]]) -> DataFrame:
+        return ladder.count_bins(self.rows, edges)
+
+    def recut(self, cuts: list[np.ndarray]) -> Samples:
+        return Samples(self.features, self.rows, cuts, _totals(ladder.count_buckets(self.rows, cuts)))
+
+
+def _totals(counts: DataFrame) -> DataFrame:
+    """Stored, as several steps read it: at most one row per feature and bucket."""
+    return stored(ladder.bucket_totals(counts, "b", "c"), "totals")
+
 
 def pair_samples(baseline: DataFrame, current: DataFrame, features: Sequence[str],
                  levels: int = ladder.LEVELS) -> Samples:
     """Lay both samples side by side. Pass stored tables: the rows are read once per pass.
 
-    The ladder and the bucket totals are computed here, in one pass each, and stored: both are small
-    (one row per feature, and at most one per feature and bucket) and all later passes use them.
-
     The ladder is cut from both samples together.
     """
-    def part(df: DataFrame, b: int, c: int) -> DataFrame:
-        return df.select(*features, F.lit(b).alias("b"), F.lit(c).alias("c"))
+    rows = ladder.sided(baseline, current, features)
+    cuts = ladder.cuts_of(ladder.ladders(rows, features, levels), features)
+    return Samples(tuple(features), rows, cuts, _totals(ladder.count_buckets(rows, cuts)))
+
+
+def _buckets(needed: DataFrame) -> dict[int, list[int]]:
+    """fid -> buckets, from a table bounded by features * buckets."""
+    found: dict[int, list[int]] = {}
+    for r in needed.select("fid", "bucket").collect():
+        found.setdefault(r["fid"], []).append(r["bucket"])
+    return found
+
+
+# -- statistics kept for a baseline ---------------------------------------------------------------
+
+@dataclass(frozen=True)
+class BaselineStatistics:
+    """Statistics of a baseline below `path`, as `keep_statistics` wrote them."""
+
+    path: str
+    features: tuple[str, ...]
+    cuts: list[np.ndarray]
+    edges: dict[int, list[float]]
+
+    def against(self, current: DataFrame) -> KeptSamples:
+        spark = current.sparkSession
+        rows = ladder.sided(current.limit(0), current, self.features)
+        both = (spark.read.parquet(f"{self.path}/totals").withColumn("c", F.lit(0).cast("long"))
+                .unionByName(ladder.count_buckets(rows, self.cuts)))
+        counts = both.groupBy("fid", "bucket").agg(F.sum("b").alias("b"), F.sum("c").alias("c"))
+        return KeptSamples(self.features, rows, self.cuts, _totals(counts), self.path)
 
-    rows = part(baseline, 1, 0).unionByName(part(current, 0, 1))
-    rungs = stored(ladder.ladders(rows, features, levels), "ladder")
-    cells = ladder.with_buckets(ladder.to_long(rows, features, ("b", "c")), rungs, levels)
-    return Samples(tuple(features), cells, stored(ladder.bucket_totals(cells, "b", "c"), "totals"))
+
+@dataclass(frozen=True)
+class KeptSamples(Samples):
+    """`rows` holds the current sample only; the baseline's share comes from its kept tables."""
+
+    path: str
+
+    def values(self, wanted: dict[int, list[int]]) -> DataFrame:
+        buckets = sorted({b for of_feature in wanted.values() for b in of_feature})
+        pairs = [(fid, b) for fid, of_feature in wanted.items() for b in of_feature]  # bounded by features * buckets
+        spark = self.rows.sparkSession
+        kept = (spark.read.parquet(f"{self.path}/values").filter(F.col("bucket").isin(buckets))  # prunes folders
+                .join(F.broadcast(spark.createDataFrame(pairs, "fid int, bucket int")), ["fid", "bucket"], "left_semi")
+                .select("fid", "bucket", "value", "b", F.lit(0).cast("long").alias("c")))
+        both = kept.unionByName(ladder.count_values(self.rows, self.cuts, wanted))
+        return both.groupBy("fid", "bucket", "value").agg(F.sum("b").alias("b"), F.sum("c").alias("c"))
+
+    def binned(self, edges: dict[int, list[float]]) -> DataFrame:
+        kept = self.rows.sparkSession.read.parquet(f"{self.path}/bins").withColumn("c", F.lit(0).cast("long"))
+        both = kept.unionByName(ladder.count_bins(self.rows, edges))
+        return both.groupBy("fid", "bin").agg(F.sum("b").alias("b"), F.sum("c").alias("c"))
+
+    def recut(self, cuts: list[np.ndarray]) -> Samples:
+        return self  # the kept values are those of the kept cuts
+
+
+def keep_statistics(baseline: DataFrame, features: Sequence[str], path: str, n_bins: int = N_BINS,
+                    levels: int = ladder.LEVELS) -> BaselineStatistics:
+    """Write the statistics of a baseline below `path`; the table of edges comes last and says that all is there."""
+    spark = baseline.sparkSession
+    rows = ladder.sided(baseline, baseline.limit(0), features)
+    rungs = ladder.ladders(rows, features, levels)
+    rungs.write.mode("overwrite").parquet(f"{path}/ladder")
+    cuts = ladder.cuts_of(spark.read.parquet(f"{path}/ladder"), features)
+    # Distinct values by bucket: a check prunes to the folders, and by fid inside them to the row groups, it needs.
+    (ladder.count_values(rows, cuts).drop("c").repartition("bucket").sortWithinPartitions("bucket", "fid", "value")
+     .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/values"))
+    values = spark.read.schema("fid int, value double, b long, bucket int").parquet(f"{path}/values")
+    (values.groupBy("fid", "bucket").agg(F.sum("b").alias("b"))
+     .write.mode("overwrite").parquet(f"{path}/totals"))
+    totals = spark.read.parquet(f"{path}/totals").withColumn("c", F.lit(0).cast("long"))
+    kept = KeptSamples(tuple(features), rows.limit(0), cuts, _totals(totals), path)
+    edges = stored(_edges(kept, n_bins), "edges")
+    number = sum((F.when(F.col("value") >= F.get("edges", F.lit(i)), 1).otherwise(0) for i in range(n_bins)), F.lit(0)) - 1
+    inside = (F.col("value") >= F.get("edges", F.lit(0))) & (F.col("value") <= F.get("edges", F.lit(n_bins)))
+    (values.join(F.broadcast(edges), "fid").filter(inside)  # one row per feature
+     .groupBy("fid", number.alias("bin")).agg(F.sum("b").alias("b")).write.mode("overwrite").parquet(f"{path}/bins"))
+    edges.write.mode("overwrite").parquet(f"{path}/edges")
+    return load_statistics(spark, path, features)
+
+
+def load_statistics(spark: SparkSession, path: str, features: Sequence[str]) -> BaselineStatistics | None:
+    """The kept statistics, or None before they are written. The features must be those they were written for."""
+    try:
+        edges = {r["fid"]: list(r["edges"]) for r in spark.read.parquet(f"{path}/edges").collect()}  # one row a feature
+    except AnalysisException:
+        return None
+    return BaselineStatistics(path, tuple(features), ladder.cuts_of(spark.read.parquet(f"{path}/ladder"), features), edges)
 
 
 def dropped_cells(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -66,19 +168,22 @@ def quantile_bins(baseline: DataFrame, features: Sequence[str], n_bins: int = N_
     return _named(_edges(samples, n_bins), features).select("feature", "edges")
 
 
-def _edges(s: Samples, n_bins: int) -> DataFrame:
-    """Edges per fid. Each quantile i lies between the order statistics at ranks floor(h) and floor(h)+1
+def quantiles(df: DataFrame, features: Sequence[str], n: int) -> DataFrame:
+    """`quantiles` per feature: the exact, interpolated quantiles 0 / n, 1 / n, ... n / n."""
+    samples = pair_samples(df, df.limit(0), features)
+    return _named(_quantiles(samples, n), features).select("feature", F.col("_q").alias("quantiles"))
+
+
+def _quantiles(s: Samples, n_bins: int) -> DataFrame:
+    """Quantiles per fid. Each quantile i lies between the order statistics at ranks floor(h) and floor(h)+1
     with h = (n-1) * i / n_bins; the buckets that hold one of those ranks are ordered in full."""
     wanted = F.transform(F.sequence(F.lit(0), F.lit(n_bins)), lambda i: _rank_of(i, F.col("b_all"), n_bins))
     ranks = F.array_distinct(F.flatten(F.transform(
         wanted, lambda h: F.array(F.floor(h), F.least(F.floor(h) + 1, F.col("b_all") - 1)))))
     inside = F.filter(ranks, lambda r: (r >= F.col("b_before")) & (r < F.col("b_before") + F.col("b")))
-    needed = s.totals.withColumn("ranks", inside).filter((F.col("b_all") > 0) & (F.size("ranks") > 0))
-
     # `needed` is bounded by 2 * (n_bins + 1) rows per feature.
-    chosen = s.cells.filter(F.col("b") == 1).join(
-        F.broadcast(needed.select("fid", "bucket")), ["fid", "bucket"], "left_semi")
-    counted = chosen.groupBy("fid", "bucket", "value").agg(F.sum("b").alias("b"))
+    needed = s.totals.withColumn("ranks", inside).filter((F.col("b_all") > 0) & (F.size("ranks") > 0))
+    counted = s.values(_buckets(needed)).filter(F.col("b") > 0).drop("c")
     ranked = ladder.value_ranks(counted, needed.drop("c", "c_before", "c_all"), "b")
     hits = F.filter("ranks", lambda r: (r >= F.col("b_upto") - F.col("b")) & (r < F.col("b_upto")))
     stats = ranked.select("fid", "b_all", "value", F.explode(hits).alias("rank"))
@@ -93,14 +198,17 @@ def _edges(s: Samples, n_bins: int) -> DataFrame:
         high = F.element_at("_at", F.least(F.floor(h) + 1, F.col("_n") - 1))
         return _between(low, high, h - F.floor(h))
 
-    quantiles = F.transform(F.sequence(F.lit(0), F.lit(n_bins)), edge)
-    out = per_feature.select("fid", quantiles.alias("_q"))
+    return per_feature.select("fid", F.transform(F.sequence(F.lit(0), F.lit(n_bins)), edge).alias("_q"))
+
+
+def _edges(s: Samples, n_bins: int) -> DataFrame:
+    """Edges per fid: the quantiles, or equal steps between the least and the largest value where quantiles repeat."""
     first, last = F.element_at("_q", 1), F.element_at("_q", -1)
     step = (last - first) / float(n_bins)
     even = F.transform(F.sequence(F.lit(0), F.lit(n_bins)),
                        lambda i: F.when(i == n_bins, last).otherwise(first + i * step))
-    return out.select("fid", F.when(F.size(F.array_distinct("_q")) < n_bins + 1, even).otherwise(F.col("_q"))
-                      .alias("edges"))
+    return _quantiles(s, n_bins).select(
+        "fid", F.when(F.size(F.array_distinct("_q")) < n_bins + 1, even).otherwise(F.col("_q")).alias("edges"))
 
 
 def _rank_of(i: Column, n: Column, n_bins: int) -> Column:
@@ -121,14 +229,10 @@ def psi_per_feature(baseline: DataFrame, current: DataFrame, features: Sequence[
     return _named(_psi(pair_samples(baseline, current, features), n_bins, epsilon), features).select("feature", "psi")
 
 
-def _psi(s: Samples, n_bins: int, epsilon: float) -> DataFrame:
-    edges = _edges(s, n_bins)
-    value = F.col("value")
-    # Bins are closed on the left; the last one on both sides. Values outside the edges are not counted.
-    number = sum((F.when(value >= F.get("edges", F.lit(i)), 1).otherwise(0) for i in range(n_bins)), F.lit(0)) - 1
-    binned = (s.cells.join(F.broadcast(edges), "fid")  # one row per feature
-              .filter((value >= F.get("edges", F.lit(0))) & (value <= F.get("edges", F.lit(n_bins))))
-              .groupBy("fid", number.alias("bin")).agg(F.sum("b").alias("b"), F.sum("c").alias("c")))
+def _psi(s: Samples, n_bins: int, epsilon: float, edges: dict[int, list[float]] | None = None) -> DataFrame:
+    if edges is None:
+        edges = {r["fid"]: list(r["edges"]) for r in _edges(s, n_bins).collect()}  # one row per feature
+    binned = s.binned(edges)
     per_feature = binned.groupBy("fid").agg(
         F.collect_list(F.struct("bin", "b", "c")).alias("_bins"),  # <= n_bins entries
         F.sum("b").alias("_nb"), F.sum("c").alias("_nc"))
@@ -155,23 +259,71 @@ def ks_per_feature(baseline: DataFrame, current: DataFrame, features: Sequence[s
     return _named(_ks(pair_samples(baseline, current, features)), features).select("feature", "ks")
 
 
-def _ks(s: Samples) -> DataFrame:
-    """The largest gap between the two distribution functions.
-
-    Inside a bucket the gap cannot exceed `reach`, what the counts at its two ends allow. Buckets whose
-    reach does not beat the largest gap seen at any bucket end cannot change the answer and are not opened.
-    """
+def _ends(totals: DataFrame) -> DataFrame:
+    """Per bucket: `_end`, the gap at its end; `_reach`, what the counts at its two ends allow inside; `_known`, the
+    largest gap at any end of the feature."""
     nb, nc = F.col("b_all"), F.col("c_all")
     at_end = F.abs((F.col("b_before") + F.col("b")) / nb - (F.col("c_before") + F.col("c")) / nc)
     reach = F.greatest((F.col("b_before") + F.col("b")) / nb - F.col("c_before") / nc,
                        (F.col("c_before") + F.col("c")) / nc - F.col("b_before") / nb)
-    ends = (s.totals.filter((nb > 0) & (nc > 0)).withColumns({"_end": at_end, "_reach": reach})
+    return (totals.filter((nb > 0) & (nc > 0)).withColumns({"_end": at_end, "_reach": reach})
             .withColumn("_known", F.max("_end").over(Window.partitionBy("fid"))))
-    open_buckets = ends.filter(F.col("_reach") > F.col("_known"))
 
+
+def _finer(s: Samples, rows: DataFrame) -> list[np.ndarray]:
+    """Cuts with each open bucket cut into equal parts of the range that its two cuts leave.
+
+    Parts are equal in the order of the bits of a double, which is the order of the values: after at most eight
+    rounds of 256 parts a part holds one value, whatever the distribution.
+    """
+    wanted = _buckets(rows)
+    parts = max(2, min(KS_PARTS, (KS_CUTS - sum(map(len, s.cuts))) // max(1, sum(map(len, wanted.values())))))
+    cuts = list(s.cuts)
+    for fid, buckets in wanted.items():
+        bounds = np.r_[-np.inf, s.cuts[fid], np.inf]
+        low, high = (_ordered(bounds[np.array(buckets) + i]) for i in (0, 1))
+        share = (high - low).astype(np.uint64) // np.uint64(parts)
+        inner = low[:, None].astype(np.uint64) + share[:, None] * np.arange(1, parts, dtype=np.uint64)
+        cuts[fid] = np.unique(np.r_[cuts[fid], _valued(inner.ravel())])
+    return cuts
+
+
+_SIGN = np.uint64(1 << 63)
+
+
+def _ordered(values: np.ndarray) -> np.ndarray:
+    """Doubles as whole numbers in the same order."""
+    bits = (values + 0.0).view(np.uint64)
+    return np.where(bits & _SIGN, ~bits, bits | _SIGN)
+
+
+def _valued(numbers: np.ndarray) -> np.ndarray:
+    return np.where(numbers & _SIGN, numbers ^ _SIGN, ~numbers).view(np.float64)
+
+
+def _ks(s: Samples) -> DataFrame:
+    """The largest gap between the two distribution functions.
+
+    Buckets whose reach does not beat the largest gap seen at any bucket end cannot change the answer and are not
+    opened. Two large samples that are alike leave many open: while these hold more than KS_ROWS rows they are cut
+    further and counted again, which finds larger gaps at more ends and beats the reach of smaller buckets. What is
+    still open then is ordered by distinct value; two equal samples end there with all their distinct values.
+    """
+    nb, nc = F.col("b_all"), F.col("c_all")
+    for _ in range(KS_ROUNDS):
+        ends = _ends(s.totals)
+        open_buckets = ends.filter(F.col("_reach") > F.col("_known"))
+        size = open_buckets.agg(F.sum(F.col("b") + F.col("c"))).first()[0] or 0
+        if size <= KS_ROWS:
+            break
+        finer = s.recut(_finer(s, open_buckets))
+        if finer is s or sum(map(len, finer.cuts)) <= sum(map(len, s.cuts)):
+            break
+        s = finer
+    ends = _ends(s.totals)
+    open_buckets = ends.filter(F.col("_reach") > F.col("_known"))
     # Bounded by the number of buckets, one row each.
-    chosen = s.cells.join(F.broadcast(open_buckets.select("fid", "bucket")), ["fid", "bucket"], "left_semi")
-    counted = chosen.groupBy("fid", "bucket", "value").agg(F.sum("b").alias("b"), F.sum("c").alias("c"))
+    counted = s.values(_buckets(open_buckets))
     ranked = ladder.value_ranks(counted, open_buckets.drop("_end", "_reach", "_known"), "b", "c")
     gaps = ranked.select("fid", F.abs(F.col("b_upto") / nb - F.col("c_upto") / nc).alias("_gap"))
     return (ends.select("fid", F.col("_known").alias("_gap")).unionByName(gaps)
@@ -184,7 +336,18 @@ def drift_scores(baseline: DataFrame, current: DataFrame, features: Sequence[str
                  n_bins: int = N_BINS, epsilon: float = EPSILON) -> DataFrame:
     """`psi` and `ks` per feature from one pair of samples."""
     s = pair_samples(baseline, current, features)
-    return _named(_psi(s, n_bins, epsilon).join(_ks(s), "fid", "full"), features).select("feature", "psi", "ks")
+    return _scores(s, _psi(s, n_bins, epsilon))
+
+
+def scores_against(kept: BaselineStatistics, current: DataFrame, epsilon: float = EPSILON) -> DataFrame:
+    """`psi` and `ks` per feature of a sample against a baseline's kept statistics."""
+    s = kept.against(current)
+    n_bins = max((len(e) - 1 for e in kept.edges.values()), default=N_BINS)
+    return _scores(s, _psi(s, n_bins, epsilon, kept.edges))
+
+
+def _scores(s: Samples, psi: DataFrame) -> DataFrame:
+    return _named(psi.join(_ks(s), "fid", "full"), s.features).select("feature", "psi", "ks")
 
 
 def feature_levels(scores: DataFrame, t: DriftThresholds = DriftThresholds()) -> DataFrame:
@@ -209,7 +372,7 @@ def drift_summary_stats(scores: DataFrame, t: DriftThresholds = DriftThresholds(
 
 
 def evaluate_drift(scores: DataFrame, rmse: DataFrame, t: DriftThresholds = DriftThresholds()) -> DataFrame:
-    """One row per row of `rmse` (current_rmse, baseline_rmse, ...): statistics, feature lists, decision.
+    """One row per row of `rmse` (current_rmse, baseline_rmse, ...): statistics, feature lists, score maps, decision.
 
     Retraining is due when the mean PSI or KS reaches its warning level or the RMSE passes its
     warning factor; alert levels are reported and never decide. A baseline RMSE of zero means
@@ -221,12 +384,15 @@ def evaluate_drift(scores: DataFrame, rmse: DataFrame, t: DriftThresholds = Drif
     # One name per feature: bounded by the number of columns.
     lists = feature_levels(scores, t).agg(*[names(s, lv).alias(f"{s}_{lv}_features")
                                            for s in ("psi", "ks") for lv in ("warn", "alert")])
+    # The same bound for the score of every feature by its name.
+    maps = scores.agg(*[F.map_from_entries(F.array_sort(F.collect_list(
+        F.when(F.col(s).isNotNull(), F.struct("feature", s))))).alias(f"{s}_scores") for s in ("psi", "ks")])
     base = F.when(F.col("baseline_rmse") > 0, F.col("baseline_rmse"))
 
     def worse(factor: float) -> Column:
         return F.coalesce(F.col("current_rmse") > base * factor, F.lit(False))
 
-    report = rmse.crossJoin(F.broadcast(drift_summary_stats(scores, t))).crossJoin(F.broadcast(lists))
+    report = rmse.crossJoin(F.broadcast(drift_summary_stats(scores, t))).crossJoin(F.broadcast(lists)).crossJoin(F.broadcast(maps))
     return report.withColumns({"rmse_warn": worse(t.rmse_warn_factor), "rmse_alert": worse(t.rmse_alert_factor)}) \
         .withColumn("should_retrain", (F.col("avg_psi") >= t.psi_warn) | (F.col("avg_ks") >= t.ks_warn)
                     | F.col("rmse_warn"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wearline.functions import clean, ieee_div
 from wearline.functions.columns import EPSILON
-from wearline.operators.labels import rekey_units
+from wearline.operators.labels import rekey_units, unit_stride
 from wearline.operators.series import SeriesLayout, add_windows, plan_series
 from wearline.spec import SPEC, FeatureSwitches, TelemetrySpec
 
@@ -60,11 +60,13 @@ def cross_system_features(df: DataFrame) -> DataFrame:
 
 
 def create_features(df: DataFrame, switches: FeatureSwitches = FeatureSwitches(), spec: TelemetrySpec = SPEC,
-                    layout: SeriesLayout | None = None, rekey: bool = True) -> DataFrame:
+                    layout: SeriesLayout | None = None, rekey: bool = True, stride: int | None = None) -> DataFrame:
     """All feature blocks as one lazy plan: one window operator, then one projection.
 
-    `layout`, if given, must describe `df` before re-keying, which moves whole series only.
+    `layout`, if given, must describe `df` before re-keying, which moves whole series only. Tables that are to
+    share ids need one `stride`; without it the table's own is looked up.
     """
+    stride = unit_stride(df, spec=spec) if rekey and stride is None else stride
     windows = switches.rolling_windows or ()
     layout = layout or plan_series(df, spec.keys, spec.order)
 
@@ -86,7 +88,7 @@ def create_features(df: DataFrame, switches: FeatureSwitches = FeatureSwitches()
         (switches.cross_system, _cross_system()),
     ]
     out = df.select("*", *[e for on, exprs in blocks if on for e in exprs])
-    return rekey_units(out, spec) if rekey else out
+    return rekey_units(out, spec, stride) if rekey else out
 
 
 def feature_names(switches: FeatureSwitches = FeatureSwitches(), spec: TelemetrySpec = SPEC) -> list[str]:

@@ -1,7 +1,7 @@
 """Exact ranks and order statistics of many columns at once, without gathering a column anywhere.
 
 A table with k value columns becomes rows (feature id, value). Each feature gets a ladder:
-approximate quantiles, found in one pass over the wide rows, that cut its values into buckets
+approximate quantiles, from mergeable sketches of the wide rows, that cut its values into buckets
 of similar size. The ladder is only a way of cutting: whatever the approximation, a value's
 bucket number never falls as the value grows, so ranks computed as "rows in earlier buckets plus
 rank within the bucket" are exact. Bucket totals are combined before the shuffle and number at
@@ -10,25 +10,38 @@ most features * buckets rows; only distinct values of the buckets that matter ar
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A ladder has 2 ** LEVELS buckets.
 LEVELS = 8
+# Items a sketch keeps on its top level, for a rank error of about 0.4%, and sketches of a feature merged at a time.
+SKETCH_ITEMS, SLOTS = 800, 64
 
 
-def ladders(df: DataFrame, features: Sequence[str], levels: int = LEVELS) -> DataFrame:
-    """One row per feature: `fid`, and `rungs`, the ascending bucket bounds.
+def sketches(df: DataFrame, features: Sequence[str], k: int = SKETCH_ITEMS) -> DataFrame:
+    """(fid, sketch): one mergeable quantile sketch per feature that has values.
 
-    One aggregate over the wide rows, with one small sketch per column and task.
+    Every task of the scan makes one sketch per feature. These are merged per (feature, slot) and then per feature,
+    so no task merges more than a slot's share of one feature's sketches, or SLOTS of them.
     """
+    per_task = (df.select(F.spark_partition_id().alias("_task"), *[usable(c).alias(c) for c in features])
+                .groupBy("_task").agg(F.array(*[F.kll_sketch_agg_double(c, k) for c in features]).alias("_all")))
+    rows = per_task.select((F.col("_task") % SLOTS).alias("_slot"), F.posexplode("_all").alias("fid", "sketch"))
+    for by in (("fid", "_slot"), ("fid",)):
+        rows = rows.groupBy(*by).agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+    return rows.filter(F.kll_sketch_get_n_double("sketch") > 0)
+
+
+def ladders(df: DataFrame, features: Sequence[str], levels: int = LEVELS) -> DataFrame:
+    """One row per feature that has values: `fid`, and `rungs`, the ascending bucket bounds."""
     n = 2 ** levels
     points = F.lit(np.arange(1, n) / n)  # one array literal rather than an expression per point
-    sketches = [F.percentile_approx(usable(c), points, 10 * n) for c in features]
-    return df.agg(F.array(*sketches).alias("_all")).select(F.posexplode("_all").alias("fid", "rungs"))
+    return sketches(df, features).select("fid", F.kll_sketch_get_quantile_double("sketch", points).alias("rungs"))
 
 
 def usable(name: str) -> Column:
@@ -79,3 +92,101 @@ def value_ranks(counted: DataFrame, offsets: DataFrame, *sums: str) -> DataFrame
     wanted = offsets.drop(*sums)
     return counted.join(F.broadcast(wanted), ["fid", "bucket"]).withColumns(
         {f"{s}_upto": F.col(f"{s}_before") + F.sum(s).over(w) for s in sums})
+
+
+# -- passes over wide rows ----------------------------------------------------------------------
+#
+# Two samples lie in one table of wide rows with `side` 0 or 1. A pass reads Arrow batches column by column and
+# keeps small arrays of counts, so cells are never made into rows: only totals, and values of wanted buckets, leave.
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def sided(first: DataFrame, second: DataFrame, features: Sequence[str]) -> DataFrame:
+    def part(df: DataFrame, side: int) -> DataFrame:
+        return df.select(F.lit(side).alias("side"), *[F.col(c).cast("double").alias(c) for c in features])
+    return part(first, 0).unionByName(part(second, 1))
+
+
+def cuts_of(rungs: DataFrame, features: Sequence[str]) -> list[np.ndarray]:
+    """The ladders as arrays, by fid: bounded by features * 2 ** LEVELS numbers."""
+    found = {r["fid"]: np.unique(np.array(r["rungs"], dtype=np.float64)) for r in rungs.collect()}
+    return [found.get(i, np.empty(0)) for i in range(len(features))]
+
+
+def _cells(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(fid, values, sides) of the cells that are neither NULL nor NaN."""
+    side = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    for fid in range(batch.num_columns - 1):
+        value = batch.column(fid + 1).to_numpy(zero_copy_only=False)
+        here = ~np.isnan(value)
+        yield fid, value[here] + 0.0, side[here]  # one zero
+
+
+def _counted(place: Callable[[int, np.ndarray], np.ndarray], sizes: list[int], name: str) -> Callable[[Batches], Batches]:
+    """Counts of both sides by place, one array per feature and task; negative places are left out."""
+    def run(batches: Batches) -> Batches:
+        counts = [np.zeros(2 * n, dtype=np.int64) for n in sizes]
+        for batch in batches:
+            for fid, value, side in _cells(batch):
+                at = place(fid, value)
+                if len(at):
+                    kept = at >= 0
+                    counts[fid] += np.bincount(2 * at[kept] + side[kept], minlength=len(counts[fid]))
+        for fid, both in enumerate(counts):
+            b, c = both[0::2], both[1::2]
+            used = np.flatnonzero(b + c)
+            yield pa.RecordBatch.from_pydict({"fid": np.full(len(used), fid, dtype=np.int32), name: used.astype(np.int32),
+                                              "b": b[used], "c": c[used]})
+    return run
+
+
+def count_buckets(rows: DataFrame, cuts: list[np.ndarray]) -> DataFrame:
+    """(fid, bucket, b, c): rows of each side per bucket, the number of cuts at or below the value."""
+    run = _counted(lambda fid, v: np.searchsorted(cuts[fid], v, side="right"), [len(c) + 1 for c in cuts], "bucket")
+    return (rows.mapInArrow(run, "fid int, bucket int, b long, c long")
+            .groupBy("fid", "bucket").agg(F.sum("b").alias("b"), F.sum("c").alias("c")))
+
+
+def count_bins(rows: DataFrame, edges: dict[int, list[float]]) -> DataFrame:
+    """(fid, bin, b, c): bins are closed on the left, the last on both sides; values outside the edges are not counted."""
+    bounds = {fid: np.array(e) for fid, e in edges.items()}
+
+    def place(fid: int, value: np.ndarray) -> np.ndarray:
+        if fid not in bounds:
+            return np.empty(0, dtype=np.int64)
+        e = bounds[fid]
+        inside = (value >= e[0]) & (value <= e[-1])
+        return np.where(inside, np.searchsorted(e[:-1], value, side="right") - 1, -1)
+
+    sizes = [len(bounds[i]) - 1 if i in bounds else 0 for i in range(len(rows.columns) - 1)]
+    return (rows.mapInArrow(_counted(place, sizes, "bin"), "fid int, bin int, b long, c long")
+            .groupBy("fid", "bin").agg(F.sum("b").alias("b"), F.sum("c").alias("c")))
+
+
+def count_values(rows: DataFrame, cuts: list[np.ndarray], wanted: dict[int, list[int]] | None = None) -> DataFrame:
+    """(fid, bucket, value, b, c): distinct values with their counts, of all buckets or of the wanted ones."""
+    masks = None
+    if wanted is not None:
+        masks = {fid: np.isin(np.arange(len(cuts[fid]) + 1), buckets) for fid, buckets in wanted.items()}
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for fid, value, side in _cells(batch):
+                if masks is not None and fid not in masks:
+                    continue
+                at = np.searchsorted(cuts[fid], value, side="right")
+                if masks is not None:
+                    here = masks[fid][at]
+                    value, side = value[here], side[here]
+                if not len(value):
+                    continue
+                distinct, index = np.unique(value, return_inverse=True)
+                both = np.bincount(2 * index + side, minlength=2 * len(distinct))
+                yield pa.RecordBatch.from_pydict({
+                    "fid": np.full(len(distinct), fid, dtype=np.int32),
+                    "bucket": np.searchsorted(cuts[fid], distinct, side="right").astype(np.int32),
+                    "value": distinct, "b": both[0::2], "c": both[1::2]})
+
+    return (rows.mapInArrow(run, "fid int, bucket int, value double, b long, c long")
+            .groupBy("fid", "bucket", "value").agg(F.sum("b").alias("b"), F.sum("c").alias("c")))

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearline.operators.features import create_features
-from wearline.operators.labels import check_label_count, check_terminal_row, label_rul_test, label_rul_train, last_row_per_unit, rul_band_filter
+from wearline.operators.labels import (check_label_count, check_terminal_row, label_rul_test, label_rul_train,
+                                       last_row_per_unit, rul_band_filter, unit_stride)
 from wearline.operators.series import SeriesLayout, plan_series
 from wearline.sources.telemetry import read_ready
 from wearline.spec import SPEC, FeatureSwitches, TelemetrySpec
@@ -42,8 +43,9 @@ def prepare_ready(spark: SparkSession, train: DataFrame, test: DataFrame, labels
         raise LabelCountError(f"test units and label lines differ in number, for example {unequal}")
     a = train_layout or plan_series(train, spec.keys, spec.order)
     b = test_layout or plan_series(test, spec.keys, spec.order)
-    ready_train = rul_band_filter(create_features(label_rul_train(train, spec, a), switches, spec, a), spec)
-    ready_test = create_features(label_rul_test(test, labels, spec, b), switches, spec, b)
+    stride = unit_stride(train, test, spec=spec)
+    ready_train = rul_band_filter(create_features(label_rul_train(train, spec, a), switches, spec, a, stride=stride), spec)
+    ready_test = create_features(label_rul_test(test, labels, spec, b), switches, spec, b, stride=stride)
     ready_train.write.mode("overwrite").partitionBy(spec.group).parquet(f"{path}/train")
     ready_test.write.mode("overwrite").partitionBy(spec.group).parquet(f"{path}/test")
     written = read_ready(spark, path, "test")

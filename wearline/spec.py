@@ -68,6 +68,10 @@ RUL_BANDS: dict[int, tuple[int, int]] = {1: (6, 145), 2: (6, 194), 3: (6, 145),
 UNIT_STRIDE = 1000
 
 
+# Fixed value: share of the entities that a first training uses.
+FIRST_FRACTION = 0.1
+
+
 @dataclass(frozen=True)
 class ForestParams:
     """Forest settings; the defaults are the production values."""
