@@ -27,9 +27,9 @@ from wearline.spec import DriftThresholds
 N_BINS = 10
 EPSILON = 1e-6
 #: Rows in open buckets that KS orders at most, while cutting the buckets further still helps.
-KS_ROWS = 4_000_000
+KS_ROWS = 1_000_000
 #: Parts an open bucket is cut into, cuts of all features together, and rounds.
-KS_PARTS, KS_CUTS, KS_ROUNDS = 256, 4_000_000, 6
+KS_PARTS, KS_CUTS, KS_ROUNDS = 256, 400_000, 8
 
 
 @dataclass(frozen=True)
@@ -67,6 +67,12 @@ def pair_samples(baseline: DataFrame, current: DataFrame, features: Sequence[str
     return Samples(tuple(features), rows, cuts, _totals(ladder.count_buckets(rows, cuts)))
 
 
+def _pairs(s: Samples, wanted: dict[int, list[int]]) -> DataFrame:
+    """(fid, bucket) rows, bounded by the number of buckets."""
+    pairs = [(fid, b) for fid, buckets in wanted.items() for b in buckets]
+    return s.rows.sparkSession.createDataFrame(pairs, "fid int, bucket int")
+
+
 def _buckets(needed: DataFrame) -> dict[int, list[int]]:
     """fid -> buckets, from a table bounded by features * buckets."""
     found: dict[int, list[int]] = {}
@@ -103,10 +109,8 @@ class KeptSamples(Samples):
 
     def values(self, wanted: dict[int, list[int]]) -> DataFrame:
         buckets = sorted({b for of_feature in wanted.values() for b in of_feature})
-        pairs = [(fid, b) for fid, of_feature in wanted.items() for b in of_feature]  # bounded by features * buckets
-        spark = self.rows.sparkSession
-        kept = (spark.read.parquet(f"{self.path}/values").filter(F.col("bucket").isin(buckets))  # prunes folders
-                .join(F.broadcast(spark.createDataFrame(pairs, "fid int, bucket int")), ["fid", "bucket"], "left_semi")
+        kept = (self.rows.sparkSession.read.parquet(f"{self.path}/values").filter(F.col("bucket").isin(buckets))  # prunes folders
+                .join(F.broadcast(_pairs(self, wanted)), ["fid", "bucket"], "left_semi")
                 .select("fid", "bucket", "value", "b", F.lit(0).cast("long").alias("c")))
         both = kept.unionByName(ladder.count_values(self.rows, self.cuts, wanted))
         return both.groupBy("fid", "bucket", "value").agg(F.sum("b").alias("b"), F.sum("c").alias("c"))
@@ -270,13 +274,28 @@ def _ends(totals: DataFrame) -> DataFrame:
             .withColumn("_known", F.max("_end").over(Window.partitionBy("fid"))))
 
 
-def _finer(s: Samples, rows: DataFrame) -> list[np.ndarray]:
+def _open(s: Samples, ends: DataFrame) -> tuple[dict[int, list[int]], int]:
+    """Buckets inside which a larger gap than the known one is possible, and their rows.
+
+    Bounded by the number of buckets. A bucket with room for one value has no inside.
+    """
+    found: dict[int, list[int]] = {}
+    rows, single = 0, {}
+    for fid, bucket, n in ends.filter(F.col("_reach") > F.col("_known")).select("fid", "bucket", F.col("b") + F.col("c")).collect():
+        if fid not in single:
+            single[fid] = ladder.single_valued(s.cuts[fid])
+        if not single[fid][bucket]:
+            found.setdefault(fid, []).append(bucket)
+            rows += n
+    return found, rows
+
+
+def _finer(s: Samples, wanted: dict[int, list[int]]) -> list[np.ndarray]:
     """Cuts with each open bucket cut into equal parts of the range that its two cuts leave.
 
     Parts are equal in the order of the bits of a double, which is the order of the values: after at most eight
     rounds of 256 parts a part holds one value, whatever the distribution.
     """
-    wanted = _buckets(rows)
     parts = max(2, min(KS_PARTS, (KS_CUTS - sum(map(len, s.cuts))) // max(1, sum(map(len, wanted.values())))))
     cuts = list(s.cuts)
     for fid, buckets in wanted.items():
@@ -310,21 +329,16 @@ def _ks(s: Samples) -> DataFrame:
     still open then is ordered by distinct value; two equal samples end there with all their distinct values.
     """
     nb, nc = F.col("b_all"), F.col("c_all")
+    ends = _ends(s.totals)
+    wanted, rows = _open(s, ends)
     for _ in range(KS_ROUNDS):
-        ends = _ends(s.totals)
-        open_buckets = ends.filter(F.col("_reach") > F.col("_known"))
-        size = open_buckets.agg(F.sum(F.col("b") + F.col("c"))).first()[0] or 0
-        if size <= KS_ROWS:
+        finer = s.recut(_finer(s, wanted)) if rows > KS_ROWS else s
+        if finer is s:
             break
-        finer = s.recut(_finer(s, open_buckets))
-        if finer is s or sum(map(len, finer.cuts)) <= sum(map(len, s.cuts)):
-            break
-        s = finer
-    ends = _ends(s.totals)
-    open_buckets = ends.filter(F.col("_reach") > F.col("_known"))
-    # Bounded by the number of buckets, one row each.
-    counted = s.values(_buckets(open_buckets))
-    ranked = ladder.value_ranks(counted, open_buckets.drop("_end", "_reach", "_known"), "b", "c")
+        s, ends = finer, _ends(finer.totals)
+        wanted, rows = _open(s, ends)
+    opened = s.totals.join(F.broadcast(_pairs(s, wanted)), ["fid", "bucket"], "left_semi")
+    ranked = ladder.value_ranks(s.values(wanted), opened, "b", "c")
     gaps = ranked.select("fid", F.abs(F.col("b_upto") / nb - F.col("c_upto") / nc).alias("_gap"))
     return (ends.select("fid", F.col("_known").alias("_gap")).unionByName(gaps)
             .groupBy("fid").agg(F.max("_gap").alias("ks")))

@@ -29,8 +29,10 @@ def sketches(df: DataFrame, features: Sequence[str], k: int = SKETCH_ITEMS) -> D
     Every task of the scan makes one sketch per feature. These are merged per (feature, slot) and then per feature,
     so no task merges more than a slot's share of one feature's sketches, or SLOTS of them.
     """
-    per_task = (df.select(F.spark_partition_id().alias("_task"), *[usable(c).alias(c) for c in features])
-                .groupBy("_task").agg(F.array(*[F.kll_sketch_agg_double(c, k) for c in features]).alias("_all")))
+    # One text for all columns: hundreds of column objects take longer to build than to run.
+    clean = ["spark_partition_id() as _task"] + [f"nanvl(cast(`{c}` as double), null) as _{i}" for i, c in enumerate(features)]
+    every = ", ".join(f"kll_sketch_agg_double(_{i}, {k})" for i in range(len(features)))
+    per_task = df.selectExpr(*clean).groupBy("_task").agg(F.expr(f"array({every})").alias("_all"))
     rows = per_task.select((F.col("_task") % SLOTS).alias("_slot"), F.posexplode("_all").alias("fid", "sketch"))
     for by in (("fid", "_slot"), ("fid",)):
         rows = rows.groupBy(*by).agg(F.kll_merge_agg_double("sketch").alias("sketch"))
@@ -104,16 +106,27 @@ Batches = Iterator[pa.RecordBatch]
 
 def sided(first: DataFrame, second: DataFrame, features: Sequence[str]) -> DataFrame:
     def part(df: DataFrame, side: int) -> DataFrame:
-        return df.select(F.lit(side).alias("side"), *[F.col(c).cast("double").alias(c) for c in features])
+        return df.selectExpr(f"{side} as side", *[f"cast(`{c}` as double) as `{c}`" for c in features])
     return part(first, 0).unionByName(part(second, 1))
 
 
 def cuts_of(rungs: DataFrame, features: Sequence[str]) -> list[np.ndarray]:
-    """The ladders as arrays, by fid: bounded by features * 2 ** LEVELS numbers."""
-    found = {r["fid"]: np.unique(np.array(r["rungs"], dtype=np.float64)) for r in rungs.collect()}
+    """The ladders as arrays, by fid: bounded by 2 * features * 2 ** LEVELS numbers.
+
+    A rung that comes up several times is a value with much of the rows: it gets a bucket of its own.
+    """
+    found: dict[int, np.ndarray] = {}
+    for r in rungs.collect():
+        rung, times = np.unique(np.array(r["rungs"], dtype=np.float64) + 0.0, return_counts=True)
+        found[r["fid"]] = np.unique(np.r_[rung, np.nextafter(rung[times > 1], np.inf)])
     return [found.get(i, np.empty(0)) for i in range(len(features))]
 
 
+def single_valued(cuts: np.ndarray) -> np.ndarray:
+    """Per bucket, whether only one value fits between its two cuts."""
+    return np.r_[False, np.nextafter(cuts[:-1], np.inf) == cuts[1:], False] if len(cuts) else np.zeros(1, dtype=bool)
+
+
 def _cells(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(fid, values, sides) of the cells that are neither NULL nor NaN."""
     side = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -123,6 +136,12 @@ def _cells(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]
         yield fid, value[here] + 0.0, side[here]  # one zero
 
 
+def _batch(names: Sequence[str], kinds: Sequence[type], parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    columns = zip(*parts) if parts else [()] * len(names)
+    return pa.RecordBatch.from_pydict({
+        n: np.concatenate(c).astype(k) if len(c) else np.empty(0, dtype=k) for n, k, c in zip(names, kinds, columns)})
+
+
 def _counted(place: Callable[[int, np.ndarray], np.ndarray], sizes: list[int], name: str) -> Callable[[Batches], Batches]:
     """Counts of both sides by place, one array per feature and task; negative places are left out."""
     def run(batches: Batches) -> Batches:
@@ -133,11 +152,9 @@ def _counted(place: Callable[[int, np.ndarray], np.ndarray], sizes: list[int], n
                 if len(at):
                     kept = at >= 0
                     counts[fid] += np.bincount(2 * at[kept] + side[kept], minlength=len(counts[fid]))
-        for fid, both in enumerate(counts):
-            b, c = both[0::2], both[1::2]
-            used = np.flatnonzero(b + c)
-            yield pa.RecordBatch.from_pydict({"fid": np.full(len(used), fid, dtype=np.int32), name: used.astype(np.int32),
-                                              "b": b[used], "c": c[used]})
+        parts = [(np.full(len(used := np.flatnonzero(both[0::2] + both[1::2])), fid), used, both[0::2][used], both[1::2][used])
+                 for fid, both in enumerate(counts)]
+        yield _batch(("fid", name, "b", "c"), (np.int32, np.int32, np.int64, np.int64), parts)
     return run
 
 
@@ -172,21 +189,18 @@ def count_values(rows: DataFrame, cuts: list[np.ndarray], wanted: dict[int, list
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
+            parts = []
             for fid, value, side in _cells(batch):
                 if masks is not None and fid not in masks:
                     continue
-                at = np.searchsorted(cuts[fid], value, side="right")
                 if masks is not None:
-                    here = masks[fid][at]
+                    here = masks[fid][np.searchsorted(cuts[fid], value, side="right")]
                     value, side = value[here], side[here]
-                if not len(value):
-                    continue
                 distinct, index = np.unique(value, return_inverse=True)
                 both = np.bincount(2 * index + side, minlength=2 * len(distinct))
-                yield pa.RecordBatch.from_pydict({
-                    "fid": np.full(len(distinct), fid, dtype=np.int32),
-                    "bucket": np.searchsorted(cuts[fid], distinct, side="right").astype(np.int32),
-                    "value": distinct, "b": both[0::2], "c": both[1::2]})
+                parts.append((np.full(len(distinct), fid), np.searchsorted(cuts[fid], distinct, side="right"), distinct,
+                              both[0::2], both[1::2]))
+            yield _batch(("fid", "bucket", "value", "b", "c"), (np.int32, np.int32, np.float64, np.int64, np.int64), parts)
 
     return (rows.mapInArrow(run, "fid int, bucket int, value double, b long, c long")
             .groupBy("fid", "bucket", "value").agg(F.sum("b").alias("b"), F.sum("c").alias("c")))
