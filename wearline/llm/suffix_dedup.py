@@ -319,12 +319,12 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """(doc, text, row) where doc orders documents as doc_id does and row holds all columns of `docs`.
+    """(doc, text, row) where doc orders documents as doc_id does and row holds the other columns of `docs`.
 
     doc is doc_id itself when no id is null or names different texts. Otherwise documents are numbered by
     (doc_id, hash of the text), null ids last, so each text has a key of its own.
     """
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("doc"),
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("row"), docs["doc_id"].cast("long").alias("doc"),
                        F.coalesce(docs["text"], F.lit("")).alias("text"))
     print_ = F.xxhash64("text")
     odd = (rows.groupBy("doc").agg(F.min(print_).alias("a"), F.max(print_).alias("b"))
@@ -340,14 +340,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
     ).select("row", F.col("number").alias("doc"), "text")
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """(row, text, spans, kept): `row` holds the columns of `docs`, `spans` are the maximal removed byte ranges,
-    `kept` the remaining bytes.
-
-    Null texts count as empty, texts under LENGTH bytes lose nothing. Of rows that repeat an id and its text,
-    none precedes the other: they are one document, listed as often as it occurs. Rows of one id with different
-    texts are different documents, ordered by a hash; null ids come last. No documents give no rows.
-    """
+def _with_ranges(docs: DataFrame) -> DataFrame:
+    """(row, text, ranges): the removed byte ranges of each text, which may overlap."""
     keyed = _keyed(docs)
     lists = (repeated_ranges(keyed).groupBy("doc")
              .agg(F.collect_list(F.struct("start", "stop")).alias("ranges")))
@@ -355,37 +349,44 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     size = lists.agg(F.sum(F.size("ranges"))).first()[0] or 0
     if size <= BROADCAST_ROWS:
         lists = F.broadcast(lists)
+    return keyed.join(lists, "doc", "left").select("row", "text", "ranges")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in common.slices(batch):
-                spans, kept = [], []
-                for text, ranges in zip(common.encoded(part.column("text")), part.column("ranges").to_pylist()):
-                    own = merged([(r["start"], r["stop"]) for r in ranges or ()])
-                    spans.append([{"start": a, "stop": b} for a, b in own])
-                    cuts = [0, *(x for r in own for x in r), len(text)]
-                    kept.append(b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2])) if own else text)
-                kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-                yield pa.record_batch([part.column("row"), part.column("text"), pa.array(spans, kind),
-                                       pa.array(kept, pa.binary())], names=["row", "text", "spans", "kept"])
 
-    joined = keyed.join(lists, "doc", "left").select("row", "text", "ranges")
-    return joined.mapInArrow(run, f"row {joined.schema['row'].dataType.simpleString()}, text string, "
-                                  "spans array<struct<start:bigint,stop:bigint>>, kept binary")
+def _cut(text: bytes, ranges: list[dict] | None) -> tuple[list[tuple[int, int]], bytes]:
+    """Maximal removed runs and the remaining bytes."""
+    own = merged([(r["start"], r["stop"]) for r in ranges or ()])
+    cuts = [0, *(x for r in own for x in r), len(text)]
+    return own, b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2])) if own else text
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """(row, text, spans, kept): `row` holds the columns of `docs` but the text, `spans` are the maximal removed byte
+    ranges, `kept` the remaining bytes.
+
+    Null texts count as empty, texts under LENGTH bytes lose nothing. Of rows that repeat an id and its text,
+    none precedes the other: they are one document, listed as often as it occurs. Rows of one id with different
+    texts are different documents, ordered by a hash; null ids come last. No documents give no rows. Texts and
+    ranges alone go to Python; the other columns wait in the JVM.
+    """
+    @F.arrow_udf("struct<spans: array<struct<start: bigint, stop: bigint>>, kept: binary>")
+    def removed(texts: pa.Array, ranges: pa.Array) -> pa.Array:
+        cut = [_cut(t, r) for t, r in zip(common.encoded(texts), ranges.to_pylist())]
+        spans = pa.array([[{"start": a, "stop": b} for a, b in own] for own, _ in cut],
+                         pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))
+        return pa.StructArray.from_arrays([spans, pa.array([kept for _, kept in cut], pa.binary())], ["spans", "kept"])
+
+    found = _with_ranges(docs).select("row", "text", removed("text", "ranges").alias("out"))
+    return found.select("row", "text", "out.spans", "out.kept")
 
 
 def shortened(docs: DataFrame) -> DataFrame:
-    """`docs` with what is kept as `text`; bytes of a character that was cut in two go as well."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [b.decode("utf-8", "ignore") for b in batch.column("kept").to_pylist()]
-            yield pa.record_batch([batch.column("row"), pa.array(texts, pa.string())], names=["row", "kept"])
-
-    found = deduplicated(docs.select(*docs.columns))
-    kind = found.schema["row"].dataType.simpleString()
-    done = found.select("row", "kept").mapInArrow(run, f"row {kind}, kept string")
-    return done.select(*[F.col("kept").alias("text") if c == "text" else F.col("row")[c].alias(c)
-                         for c in docs.columns])
+    """`docs` with what is kept as `text`; bytes of a character that was cut in two go as well. Else as `deduplicated`."""
+    @F.arrow_udf("string")
+    def rest(texts: pa.Array, ranges: pa.Array) -> pa.Array:
+        return pa.array([_cut(t, r)[1].decode("utf-8", "ignore") for t, r in zip(common.encoded(texts), ranges.to_pylist())], pa.string())
+
+    done = _with_ranges(docs).select("row", rest("text", "ranges").alias("rest"))
+    return done.select(*[F.col("rest").alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def digest(docs: DataFrame) -> DataFrame:
