@@ -17,7 +17,7 @@ from wearline.session import build_session
 HEADLINE = (
     "label_rul_train", "label_rul_test", "rul_band_filter", "last_row_per_unit", "rolling_mean", "delta",
     "setting_sensor_products", "create_features", "row_prefix_fraction", "entity_prefix_fraction", "recent_entities",
-    "accuracy_summary", "regression_metrics", "psi_per_feature", "ks_per_feature", "drift_check",
+    "accuracy_summary", "regression_metrics", "psi_per_feature", "ks_per_feature", "drift_baseline", "drift_check",
     "rank_features_spearman_delta", "trailing_window_rmse", "trailing_window_entities", "prediction_rate_by_version",
     "retrain_trigger", "read_feedback_lenient", "classify_requests", "fit_rul_forest", "score")
 

@@ -71,7 +71,9 @@ def test_ieee_division(spark):
 def test_rekey_refuses_ids_beyond_the_stride(spark):
     df = series(spark, [0.0], 1001, 1).union(series(spark, [0.0], 1, 2))
     with pytest.raises(Exception, match="does not fit the stride 1000"):
-        labels.rekey_units(df, ONE).collect()
+        labels.rekey_units(df, ONE, 1000).collect()
+    assert labels.unit_stride(df, spec=ONE) == 10_000  # the least that fits, where none is stated
+    assert sorted(r.unit_number for r in labels.rekey_units(df, ONE).collect()) == [11_001, 20_001]
 
 
 def test_unlabelled_units_keep_their_rows(spark):
