@@ -46,3 +46,37 @@ def test_page_in_one_form():
     page = f"<body><form id=aspnetForm><input type=hidden><article>{BODY}</article></form><form><p>Your name</p><input></form>"
     assert html_text.main_text(page) == WANT
     assert html_text.main_text("<article><form><label>Name</label><p>Send it</p><select><option>a</select></form></article>") == ""
+
+
+LONG = "word " * 70 + "end."
+
+
+@pytest.mark.parametrize("mark", ["id='comments'", "class='comment-list'", "class='reader-comments'", "id='disqus_thread'",
+                                  "class='cookie-notice'", "class='sidebar'", "class='ad-box'", "class='newsletter-signup'"])
+def test_surroundings_of_any_length_stay_out(mark):
+    part = f"<div {mark}><p>{LONG}</p><div class='text'><p>{LONG}</p></div></div>"
+    assert html_text.main_text(f"<body><article>{BODY}</article>{part}") == WANT
+    assert html_text.main_text(f"<body><article>{BODY}{part}</article>") == WANT
+
+
+@pytest.mark.parametrize("around", ["<div class='legal'>{}</div>", "<div class='post search-results-story'>{}</div>",
+                                    "<main id='main'><section class='related-work'>{}</section></main>"])
+def test_names_that_describe_an_article(around):
+    assert html_text.main_text(f"<body>{around.format(BODY)}") == WANT
+
+
+@pytest.mark.parametrize(("inner", "want"), [
+    ("where <math><mi>x</mi><mo>=</mo><mn>1</mn></math> is big", "where x=1 is big"),
+    ("take <svg><g><path d=''></g></svg>it", "take it"), ("take <button>Go</button>it", "take it"),
+    ("take <select><option>a</option></select>it", "take it"), ("take <script>if (a<b) c</script>it", "take it")])
+def test_a_paragraph_stays_one_line(inner, want):
+    assert html_text.main_text(f"<article><p>We {inner}, my friend.</p></article>") == f"We {want}, my friend."
+
+
+@pytest.mark.parametrize("part", ["<div>a", "<b ", "<a \">\" ", "<form>a<p>", "<span>a", "<span></p>",
+                                  "<div class='sidebar-layout'><div class='content'>a"])
+def test_time_grows_with_the_page(part):
+    import time
+    start = time.process_time()
+    html_text.main_text(part * 30_000 + "<p>end")
+    assert time.process_time() - start < 15

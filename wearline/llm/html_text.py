@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,14 +22,19 @@ from pyspark.sql import functions as F
 from wearline.llm import common
 
 #: Elements whose content is never shown as text, and those that are controls to fill in.
-SILENT = {"script", "style", "template", "noscript", "svg", "math", "iframe", "object", "canvas", "audio", "video",
+SILENT = {"script", "style", "template", "noscript", "svg", "annotation", "annotation-xml", "iframe", "object", "canvas", "audio", "video",
           "head", "title", "button", "select", "textarea", "option", "datalist", "dialog", "map"}
 #: Of these, elements whose content is plain characters up to their end tag.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
           "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong",
-          "sub", "sup", "time", "tt", "u", "var", "wbr", "img", "input"}
+          "sub", "sup", "time", "tt", "u", "var", "wbr", "img", "input", "picture", "source", "output", "meter",
+          "progress", "nobr", "rb", "rtc", "link", "meta", "script", "style", "template", "noscript", "svg", "iframe",
+          "object", "embed", "param", "canvas", "audio", "video", "track", "button", "select", "textarea", "map", "area",
+          "math", "mi", "mn", "mo", "ms", "mtext", "mspace", "mrow", "mfrac", "msqrt", "mroot", "mstyle", "mpadded",
+          "mphantom", "mfenced", "menclose", "msub", "msup", "msubsup", "munder", "mover", "munderover", "mmultiscripts",
+          "mprescripts", "mtable", "mtr", "mtd", "semantics", "annotation", "annotation-xml"}
 #: An open element that ends where one of these begins.
 ENDS = {"p": {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "figure", "footer", "form", "h1",
               "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"},
@@ -38,20 +44,36 @@ ENDS = {"p": {"address", "article", "aside", "blockquote", "div", "dl", "fieldse
 IN_HEAD = {"base", "basefont", "bgsound", "link", "meta", "noscript", "script", "style", "template", "title"}
 #: A form without a block of so many unlinked words is there to be filled in.
 FORM_WORDS = 20
-#: Words in a class, id or role that mark what surrounds an article.
+#: Words in a class or id for what surrounds an article. Such a word may also be a first part that says where
+#: an element is, or what it is like ("sidebar-layout", "banner-page").
 AROUND = re.compile(
     r"(?:^|[-_\s])(?:ads?|advert\w*|adverts?|sponsor\w*|promo\w*|banner\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|"
     r"side|widgets?|related|recommend\w*|share|sharing|social|footer|header|masthead|cookies?\w*|consent|gdpr|notice\w*|"
     r"popup|modal|overlay|newsletter|subscribe\w*|signup|login|search\w*|pagination|pager|toolbar|comments?|respond|replies|"
-    r"disqus|complementary|contentinfo|navigation|banner|alert|disclaimer|copyright|legal|tags?|toc)(?:$|[-_\s])", re.I)
+    r"disqus|complementary|contentinfo|navigation|banner|alert|disclaimer|copyright|tags?|toc)(?:$|[-_\s])", re.I)
+#: Names that say what the element itself is: a word for surroundings as the last part of the name, or before a
+#: last part that only says that there is a box with something in it.
+NAMED = (r"(?:ads?|adverts?|advert\w*|sponsor\w*|promos?|promotions?|nav|navbar|navigation|menu|menubar|breadcrumbs?|sidebar|"
+         r"widgets?|related|recommendations?|recommended|share|sharing|social|footer|masthead|cookies?|consent|gdpr|notices?|"
+         r"newsletter|subscribe|subscription|signup|login|pagination|pager|toolbar|copyright|alert)")
+REPLIES = r"(?:comments?|responses?|respond|repl(?:y|ies)|disqus|commentlist|discussion)"
+_BOX = (r"(?:list|box|block|section|sections|wrapper|wrap|container|area|items?|body|content|contents|text|form|links?|bar|"
+        r"inner|outer|thread|threads|meta|author|buttons?|icons?|posts?|articles?|stories|message|panel|group|row|col|"
+        r"modal|popup|overlay|banner|header|heading|title|\d+)")
+IS_AROUND = re.compile(rf"(?:^|[-_\s]){NAMED}(?:[-_]{_BOX})*(?:$|\s)", re.I)
+IS_REPLIES = re.compile(rf"(?:^|[-_\s]){REPLIES}(?:[-_]{_BOX})*(?:$|\s)", re.I)
 #: Parts of a class that say what an element has beside it, or lacks, or is about.
 BESIDE = re.compile(r"(?:^|(?<=\s))(?:has|no|with|without|tags?|category|is|hide|show)-\S*", re.I)
+#: Names whose last part says that the element is an article, or a part of one that a word above only describes.
+_STORY = re.compile(r"[-_](?:story|article|post|work|works|paper|report)$", re.I)
 #: Words that mark the article itself.
 INSIDE = re.compile(r"(?:^|[-_\s])(?:article\w*|content|main\w*|post|post-?body|entry\w*|story\w*|body|text|prose)(?:$|[-_\s])", re.I)
 
-# A comment, a declaration, a tag, or a tag whose quotes do not pair.
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-                  r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+# Where markup begins; the rest of a comment or declaration; a tag, and one whose quotes do not pair.
+_OPEN = re.compile(r"<(?=[!?]|/?[a-zA-Z])")
+_NO_TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>", re.S)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
+_BROKEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
@@ -129,27 +151,43 @@ def decide(tree: tuple | int, x: list[float]) -> int:
 
 
 class Page:
-    """The flat blocks of a page: text, linked words, and marks of where each stands."""
+    """The flat blocks of a page: text, linked words, and marks of where each stands.
+
+    One pass, in time that grows with the page: marks and names of the open elements are counted, and what ends a
+    tag is looked for once. When the quotes of a tag do not pair up to the end of the page, that tag and later
+    ones end at their first `>`.
+    """
 
     def __init__(self, source: str):
         self.blocks: list[tuple[str, int, int, frozenset]] = []
         self.open: list[tuple[str, set]] = []  # open elements with the marks they set
+        self.names: Counter[str] = Counter()  # how many open elements have a name, or set a mark
+        self.counts: Counter[str] = Counter()
+        self.turns: list[str] = []  # of open elements: whether surroundings begin, or an article within
+        self.known: frozenset | None = None  # marks of the place, while no element begins or ends
         self.parts: list[str] = []
         self.linked = 0
         self.forms = 0
-        at = 0
+        at, tags_end, tag_of = 0, source.rfind(">"), _TAG
         while at < len(source):
-            tag = _TAG.search(source, at)
-            stop = tag.start() if tag else len(source)
+            begin = _OPEN.search(source, at)
+            stop = begin.start() if begin else len(source)
+            if begin and stop > tags_end and not source.startswith("<!--", stop):
+                stop, begin = len(source), None  # nothing ends a tag any more
             if stop > at:
                 self.text(source[at:stop])
-            if not tag:
+            if not begin:
                 break
-            at = tag.end()
-            name, attributes = (tag[2] or tag[5] or "").lower(), tag[3] or tag[6] or ""
-            if not name:
+            if source[stop + 1] in "!?":
+                at = _NO_TAG.match(source, stop).end()
                 continue
-            if tag[1] or tag[4]:
+            tag = tag_of.match(source, stop)
+            if not tag:
+                tag_of = _BROKEN
+                tag = tag_of.match(source, stop)
+            at = tag.end()
+            name, attributes = tag[2].lower(), tag[3]
+            if tag[1]:
                 self.end(name)
             else:
                 self.begin(name, attributes)
@@ -161,15 +199,38 @@ class Page:
         written = {m for _, n, linked, marks in self.blocks if n - linked >= FORM_WORDS for m in marks if m.startswith("form ")}
         self.blocks = [b for b in self.blocks if all(m in written for m in b[3] if m.startswith("form "))]
 
-    def marks(self) -> set:
-        marks = set().union(*(m for _, m in self.open)) if self.open else set()
-        # what is named as surroundings inside an article that began in such an element is so again
-        last = next((m for _, m in reversed(self.open) if m & {"around", "begins"}), set())
-        return marks - {"begins"} if "around" in last else marks
+    def marks(self) -> frozenset:
+        if self.known is None:
+            marks = {m for m, n in self.counts.items() if n}
+            # what is named as surroundings inside an article that began in such an element is so again
+            self.known = frozenset(marks - {"begins"} if self.turns and self.turns[-1] == "around" else marks)
+        return self.known
+
+    def push(self, name: str, marks: set) -> None:
+        self.open.append((name, marks))
+        self.names[name] += 1
+        if marks:
+            self.counts.update(marks)
+            self.known = None
+            if marks & {"around", "begins"}:
+                self.turns.append("around" if "around" in marks else "begins")
+
+    def pop(self) -> str:
+        name, marks = self.open.pop()
+        self.names[name] -= 1
+        if marks:
+            for m in marks:
+                self.counts[m] -= 1
+                if not self.counts[m]:
+                    del self.counts[m]
+            self.known = None
+            if marks & {"around", "begins"}:
+                self.turns.pop()
+        return name
 
     def text(self, raw: str) -> None:
         if self.open and self.open[-1][0] == "head" and raw.strip():
-            self.open.pop()
+            self.pop()
         marks = self.marks()
         if "silent" in marks:
             return
@@ -181,7 +242,7 @@ class Page:
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.blocks.append((text, len(text.split()), self.linked, frozenset(self.marks())))
+            self.blocks.append((text, len(text.split()), self.linked, self.marks()))
         self.parts, self.linked = [], 0
 
     def begin(self, name: str, attributes: str) -> None:
@@ -189,21 +250,21 @@ class Page:
             self.parts.append(" ")
             return
         if self.open and self.open[-1][0] == "head" and name not in IN_HEAD:
-            self.open.pop()
+            self.pop()
         while self.open and name in ENDS.get(self.open[-1][0], ()):
             self.flush()
-            self.open.pop()
-        if name not in INLINE:
+            self.pop()
+        if name not in INLINE and "silent" not in self.marks():
             self.flush()
         if name in VOID or attributes.endswith("/"):
             return
         marks = set()
         if name in SILENT:
             marks.add("silent")
-        if name == "form":
+        if name == "form" and not self.names["form"]:
             self.forms += 1
             marks.add(f"form {self.forms}")
-        if name in ("label", "legend") and any(n == "form" for n, _ in self.open):
+        if name in ("label", "legend") and self.names["form"]:
             marks.add("silent")
         if name == "a":
             marks.add("link")
@@ -223,26 +284,30 @@ class Page:
                 marks.add("silent")
             elif key in ("class", "id", "role") and name not in INLINE and name not in ("html", "body"):
                 value = BESIDE.sub("", value)
-                if AROUND.search(value):
+                body = name in ("article", "main")
+                if IS_REPLIES.search(value) or not body and IS_AROUND.search(value) and not any(
+                        INSIDE.search(x) and not IS_AROUND.search(x) for x in value.split()):
+                    marks |= {"named", "chrome"}
+                elif AROUND.search(value) and not any(map(_STORY.search, value.split())):
                     marks.add("named")
-                    if name not in ("article", "main"):
+                    if not body:
                         marks.add("chrome" if key == "role" else "around")
                 elif INSIDE.search(value):
                     marks.add("article")
         if "article" in marks and not marks & {"named", "chrome"} and "around" in self.marks():
             marks.add("begins")
-        self.open.append((name, marks))
+        self.push(name, marks)
 
     def end(self, name: str) -> None:
-        if not any(n == name for n, _ in self.open):
+        if not self.names[name]:
             return
-        if name not in INLINE:
+        if name not in INLINE and "silent" not in self.marks():
             self.flush()
         while self.open:
-            top, _ = self.open[-1]
-            if top != name and top not in INLINE:
+            top = self.open[-1][0]
+            if top != name and top not in INLINE and "silent" not in self.marks():
                 self.flush()
-            self.open.pop()
+            self.pop()
             if top == name:
                 break
 
