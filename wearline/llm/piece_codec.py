@@ -14,9 +14,12 @@ characters that stand together in no piece, such as the start of a word. What li
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,15 +49,18 @@ class Vocabulary:
         self.silent = {i for i in range(n) if model.is_control(i)}
         self.unknown = model.unk_id()
         self.longest = max(map(len, self.ids), default=1)
-        #: Lengths of the pieces that end in these two characters, longest first.
-        ends: dict[str, set[int]] = {}
+        #: Finds the pieces that end at each character, the longest first.
+        self.edges = ahocorasick.Automaton()
         for p in self.ids:
-            if len(p) > 1:
-                ends.setdefault(p[-2:], set()).add(len(p))
-        self.ends = {k: tuple(sorted(x, reverse=True)) for k, x in ends.items()}
+            self.edges.add_word(p, p)
+        self.edges.make_automaton()
         #: Pairs of characters that stand together in some piece; no piece crosses a boundary between others.
         self.inside = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
-        self.words_close = all(x[0] == SPACE or x[1] != SPACE for x in self.inside)
+        words = all(x[0] == SPACE or x[1] != SPACE for x in self.inside)
+        lines = not any("\n" in x for x in self.inside)
+        #: Parts of a marked text that no piece crosses: words with the marks before them, and line ends.
+        self.parts = re.compile({(True, True): f"\n+|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+", (True, False): f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+",
+                                 (False, True): "\n+|[^\n]+", (False, False): "(?s:.+)"}[words, lines])
         self.known: dict[tuple[str, str], bool] = {}  # stable pairs
 
     def merged(self, text: str) -> list[str]:
@@ -84,58 +90,62 @@ class Stream:
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
+        self.tail = ""  # the last characters pushed, fewer than the longest piece has
         self.ids: list[int] = []
         self._reset()
         self.widest = 0  # most nodes ever held
 
     def _reset(self) -> None:
-        self.text = ""  # characters since the last committed boundary
         self.last: list[str | None] = [None]  # backpointers: the piece that ends at each node; None: no path
         self.before: str | None = None  # piece that ends at the committed boundary
 
     def push(self, chars: str) -> None:
-        v = self.v
-        ids, ends, known, inside = v.ids, v.ends, v.known, v.inside
-        for ch in chars:
-            if ch not in ids:
-                self.close()
-                self.ids += [v.bytes[b] for b in ch.encode("utf-8")] if v.bytes else [v.unknown]
+        v, chars, first = self.v, self.tail + chars, len(self.tail)
+        known, inside = v.known, v.inside
+        last, base = self.last, first + 1 - len(self.last)  # base: place of the committed boundary, seen from the tail
+        done, tried = first, -1  # characters whose node is there; the last character that ends a piece
+        # The encoding of a beginning is unique under a merge order, so the first stable edge is the only one.
+        for at, piece in v.edges.iter(chars):
+            if at < done:
+                continue
+            if at != tried:
+                if at > done:
+                    self._without(chars[done:at], done == tried)
+                    done = at
+                    last, base = self.last, at + 1 - len(self.last)
+                tried = at
+                if len(piece) == 1 and len(last) > 1 and chars[at - 1:at + 1] not in inside:
+                    self.close()
+                    last, base = self.last, at
+                elif at - base > 2 * v.longest:
+                    self._commit()
+                    last, base = self.last, at + 1 - len(self.last)
+            start = at + 1 - len(piece) - base
+            if start < 0:
                 continue
-            if self.text and self.text[-1] + ch not in inside:
-                self.close()
-            text = self.text = self.text + ch
-            last, end = self.last, len(text)
-            found = None
-            # The encoding of a beginning is unique under a merge order, so the first stable edge is the only one.
-            for size in ends.get(text[-2:], ()) if end > 1 else ():
-                start = end - size
-                if start < 0:
+            previous = last[start] if start else self.before
+            if previous is None:
+                if start:
                     continue
-                piece = text[start:]
-                if piece in ids:
-                    if start:
-                        previous = last[start]
-                        if previous is None:
-                            continue
-                    else:
-                        previous = self.before
-                    if previous is None:
-                        found = piece
-                        break
-                    stable = known.get((previous, piece))
-                    if v.stable(previous, piece) if stable is None else stable:
-                        found = piece
-                        break
-            if found is None:
-                previous = last[-1] if end > 1 else self.before
-                if end == 1 or previous is not None:
-                    if previous is None or v.stable(previous, ch):
-                        found = ch
-            last.append(found)
-            if end >= self.widest:
-                self.widest = end + 1
-            if end > 2 * v.longest:
-                self._commit()
+            else:
+                stable = known.get((previous, piece))
+                if not (v.stable(previous, piece) if stable is None else stable):
+                    continue
+            last.append(piece)
+            done = at + 1
+            if done - base >= self.widest:
+                self.widest = done - base + 1
+        self._without(chars[done:], done == tried)
+        self.tail = chars[max(0, len(chars) - v.longest + 1):]
+
+    def _without(self, chars: str, edge: bool) -> None:
+        """Characters at which no path ends: no piece ends there, but for the first of them if `edge`."""
+        if edge:
+            self.last.append(None)
+            chars = chars[1:]
+        for ch in chars:
+            self.close()
+            self.ids += [self.v.bytes[b] for b in ch.encode("utf-8")] if self.v.bytes else [self.v.unknown]
 
     def _path(self, node: int) -> list[int]:
         """Boundaries on the way back from a node, itself included."""
@@ -147,7 +157,7 @@ class Stream:
 
     def _commit(self) -> None:
         """Commit up to the last boundary that the paths of all surviving nodes share."""
-        end = len(self.text)
+        end = len(self.last) - 1
         alive = [n for n in range(max(1, end - self.v.longest + 1), end + 1) if self.last[n] is not None]
         shared = set(self._path(alive[0])) if alive else {0}
         for n in alive[1:]:
@@ -157,7 +167,6 @@ class Stream:
             return
         self._emit(boundary)
         self.before = self.last[boundary]
-        self.text = self.text[boundary:]
         self.last = [None, *self.last[boundary + 1:]]
 
     def _emit(self, node: int) -> None:
@@ -166,8 +175,8 @@ class Stream:
 
     def close(self) -> None:
         """No piece crosses this place: commit all."""
-        if self.text:
-            self._emit(len(self.text))
+        if len(self.last) > 1:
+            self._emit(len(self.last) - 1)
         self._reset()
 
 
@@ -206,25 +215,19 @@ class Words(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
-        inside = self.vocabulary.inside
-        cuts = [0, *(i for i in range(1, len(word)) if word[i - 1:i + 1] not in inside), len(word)]
-        if len(cuts) > 2:  # parts that no piece joins are remembered by themselves
-            ids = b"".join([self[word[a:b]] for a, b in zip(cuts, cuts[1:])])
+        if len(word) > 1 and word[-2:] not in self.vocabulary.inside:  # such as a sign after the word
+            ids = self[word[:-1]] + self[word[-1]]
         else:
             stream = Stream(self.vocabulary)
             stream.push(word)
             stream.close()
-            ids = np.array(stream.ids, dtype="<u4").tobytes()
+            ids = struct.pack(f"<{len(stream.ids)}I", *stream.ids)
         self[word] = ids
         return ids
 
     def ids(self, text: str) -> bytes:
-        """Ids of a text: word by word where words close the window, else in one stream."""
-        if not text:
-            return b""
-        if not self.vocabulary.words_close or "  " in text or text[0] == " " or text[-1] == " " or SPACE in text:
-            return np.array(encode(self.vocabulary, text), dtype="<u4").tobytes()
-        return b"".join(map(self.__getitem__, (SPACE + w for w in text.split(" "))))
+        """Ids of a text, part by part where no piece joins parts."""
+        return b"".join(map(self.__getitem__, self.vocabulary.parts.findall(SPACE + text.replace(" ", SPACE)))) if text else b""
 
     def text(self, ids: bytes) -> str:
         """`decode`, by table."""
