@@ -129,11 +129,13 @@ def _profile(spark, sf):
 
 
 @query("baseline_stats", oracle(_per_column(
-    SPEC.base, "select '{c}' as feature, round(avg({c}), 3) as mean, round(stddev_samp({c}), 3) as std from telemetry "
-    "where split = 'train'"), "telemetry"))
+    SPEC.base, "select '{c}' as feature, round(avg({c}), 3) as mean, round(stddev_samp({c}), 3) as std, "
+    "round(quantile_cont({c}, 0.25), 6) as p25, round(quantile_cont({c}, 0.5), 6) as p50, round(quantile_cont({c}, 0.75), 6) as p75 "
+    "from telemetry where split = 'train'"), "telemetry"))
 def _baseline_stats(spark, sf):
-    return ranking.baseline_stats(fx.split_of(spark, sf, "train"), SPEC.base).select(
-        "feature", rounded("mean", 3).alias("mean"), rounded("std", 3).alias("std"))
+    stats = ranking.baseline_stats(fx.split_of(spark, sf, "train"), SPEC.base)
+    return stats.select("feature", rounded("mean", 3).alias("mean"), rounded("std", 3).alias("std"),
+                        *[F.round(F.get("percentiles", F.lit(i)), 6).alias(p) for i, p in enumerate(("p25", "p50", "p75"))])
 
 
 @query("variance_threshold", oracle("select feature, variance from (" + _per_column(
@@ -143,7 +145,7 @@ def _variance(spark, sf):
     return ranking.variance_threshold(fx.telemetry(spark, sf), SPEC.base).withColumn("variance", rounded("variance", 3))
 
 
-@query("mutual_information", oracle("""
+@query("mutual_information", oracle(f"""
 select feature, round(sum(n / nt * ln(n * nt / (nx * ny))), 6) as mutual_information from (
   select feature, x, y, cast(count(*) as double) as n, cast(sum(count(*)) over (partition by feature) as double) as nt,
          cast(sum(count(*)) over (partition by feature, x) as double) as nx,
@@ -152,12 +154,12 @@ select feature, round(sum(n / nt * ln(n * nt / (nx * ny))), 6) as mutual_informa
                least(cast(floor((rul - rlo) / cast(rhi - rlo as double) * 16) as bigint), 15) as y
         from (select feature, value, rul, min(value) over (partition by feature) as lo, max(value) over (partition by feature) as hi,
                      min(rul) over () as rlo, max(rul) over () as rhi
-              from (unpivot (select cast("RUL" as double) as rul, setting_1, s_2, s_6, s_7, s_19 from train_rul)
-                    on setting_1, s_2, s_6, s_7, s_19 into name feature value value) u) b) c
+              from (unpivot (select cast("RUL" as double) as rul, {", ".join(SPEC.base)} from train_rul)
+                    on {", ".join(SPEC.base)} into name feature value value) u) b) c
   group by 1, 2, 3) j group by 1""", "prepared"))
 def _mutual_information(spark, sf):
-    return ranking.mutual_information(with_rul(spark, sf, "train"), ["setting_1", "s_2", "s_6", "s_7", "s_19"],
-                                      "RUL").withColumn("mutual_information", rounded("mutual_information"))
+    return ranking.mutual_information(with_rul(spark, sf, "train"), SPEC.base, "RUL").withColumn(
+        "mutual_information", rounded("mutual_information"))
 
 
 @query("promotion_gate", oracle("select model_version, test_rmse from registry where test_rmse <= 50.0::double * 1.1::double", "registry"))
@@ -165,20 +167,24 @@ def _promotion(spark, sf):
     return promotion_gate(fx.registry(spark, sf), 50.0).select("model_version", "test_rmse")
 
 
-@query("sequence_windows", oracle("""
-select subset, unit_number, time_cycles, len(l) as n_steps, l[1][1] as oldest, l[5][2] as newest,
-       round(list_sum(list_transform(l, lambda x: x[1])), 6) as total
-from (select subset, unit_number, time_cycles,
-             list_concat(list_transform(range(0, greatest(0, 5 - time_cycles)), lambda i: [0.0::double, 0.0::double]),
-                         list([s_2, s_7]) over (partition by subset, unit_number order by time_cycles rows 4 preceding)) as l
+# Every cell of a window counts in `digest`, with a weight for its step and its column.
+@query("sequence_windows", oracle(f"""
+select subset, unit_number, time_cycles, 50::bigint as n_steps, {len(SPEC.base)}::bigint as n_columns,
+       case when time_cycles < 50 then 0 else l[1].first end as oldest, l[-1].last as newest,
+       cast(list_sum(list_transform(l, lambda x, i: (i + 50 - len(l)) * x.cells)) as bigint) as digest
+from (select subset, unit_number, time_cycles, list({{'first': {SPEC.base[0]}, 'last': {SPEC.base[-1]}, 'cells':
+             {" + ".join(f"{i} * cast(floor({c} * 1024) as bigint)" for i, c in enumerate(SPEC.base, 1))}}})
+             over (partition by subset, unit_number order by time_cycles rows 49 preceding) as l
       from telemetry where split = 'test') t""", "telemetry"))
 def _sequences(spark, sf):
     df = fx.split_of(spark, sf, "test")
-    out = sequences.sequence_windows(df, ["s_2", "s_7"], 5, layout=fx.layout_of(df))
-    total = F.aggregate("sequence", F.lit(0.0), lambda a, x: a + x[0])
+    out = sequences.sequence_windows(df, SPEC.base, layout=fx.layout_of(df))
+    steps = F.transform("sequence", lambda row, i: (i + 1) * F.aggregate(
+        F.transform(row, lambda x, j: (j + 1) * F.floor(x * 1024)), F.lit(0).cast("bigint"), lambda a, x: a + x))
     return out.select(*SPEC.keys, "time_cycles", F.size("sequence").cast("bigint").alias("n_steps"),
-                      F.col("sequence")[0][0].alias("oldest"), F.col("sequence")[4][1].alias("newest"),
-                      F.round(total, 6).alias("total"))
+                      F.size(F.col("sequence")[0]).cast("bigint").alias("n_columns"),
+                      F.col("sequence")[0][0].alias("oldest"), F.col("sequence")[49][len(SPEC.base) - 1].alias("newest"),
+                      F.aggregate(steps, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("digest"))
 
 
 @query("weighted_blend", oracle("""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wearline.bindings import fixtures as fx
 from wearline.bindings.monitoring import plain_times
-from wearline.bindings.features import with_rul
+from wearline.bindings.features import FEATURED_CTES, with_rul
 from wearline.bindings.ready import ready_tables
 from wearline.bindings.registry import oracle, query
 from wearline.session import fresh_path
@@ -27,12 +27,11 @@ def _read_text(spark, sf):
     return tele.read_telemetry_text(spark, path, pattern=IN_FOLDER)
 
 
-@query("tag_subset", oracle("select subset, count(*) as n from telemetry group by 1", "telemetry"))
+@query("tag_subset", oracle("select * from telemetry", "telemetry"))
 def _tag(spark, sf):
     path = fresh_path(spark, "tag")
-    fx.telemetry(spark, sf).select("subset", "s_2").write.partitionBy("subset").parquet(path)
-    return tele.tag_subset(spark.read.parquet(path).drop("subset"), pattern=IN_FOLDER).groupBy("subset").agg(
-        F.count(F.lit(1)).alias("n"))
+    fx.telemetry(spark, sf).write.partitionBy("subset").parquet(path)
+    return tele.tag_subset(spark.read.parquet(path).drop("subset"), pattern=IN_FOLDER)
 
 
 @query("read_rul_labels", oracle("select subset, line_no, rul from rul_labels", "labels"))
@@ -58,9 +57,29 @@ def _prepared_csv(spark, sf):
     return tele.read_prepared(spark, path, fmt="csv")
 
 
-@query("write_ready", oracle("""
+_LABELLED = """
+labelled as (
+  select f.* exclude (split) replace (f.unit_number + 1000 * f.subset as unit_number), t."RUL"
+  from featured f join {0}_rul t using (subset, unit_number, time_cycles) where f.split = '{0}')"""
+_TRAIN_BANDS = """(subset in (1, 3) and "RUL" between 6 and 145) or (subset in (2, 4) and "RUL" between 6 and 194)"""
+
+
+def _written(name: str, side: str, rows: str) -> None:
+    """Every row and column of a ready table, as it is read back."""
+    @query(name, oracle(f"select * from labelled {rows}", "prepared", ctes=(*FEATURED_CTES, _LABELLED.format(side))))
+    def _run(spark, sf, table=name.removeprefix("write_ready_")):
+        return getattr(ready_tables(spark, sf), table)
+
+
+_written("write_ready_train", "train", f"where {_TRAIN_BANDS}")
+_written("write_ready_test", "test", "")
+_written("write_ready_test_last_rows", "test",
+         "qualify row_number() over (partition by subset, unit_number order by time_cycles desc) = 1")
+
+
+@query("write_ready", oracle(f"""
 select 'train' as name, count(*) as n, cast(sum("RUL") as bigint) as rul, min(unit_number + 1000 * subset) as first_unit
-from train_rul where (subset in (1, 3) and "RUL" between 6 and 145) or (subset in (2, 4) and "RUL" between 6 and 194)
+from train_rul where {_TRAIN_BANDS}
 union all
 select 'test', count(*), cast(sum("RUL") as bigint), min(unit_number + 1000 * subset) from test_rul
 union all
@@ -170,21 +189,25 @@ def _payloads(spark, sf):
 
 
 @query("rows_payload_to_df", """
-select event_id, user_id as unit, value as s_2, value * 2 as s_3
-from events cross join (select unnest([1, 2]) as copy) c where event_id % 10 > 4""")
+select event_id, user_id as unit, value as s_2, case when event_id % 10 <> 3 then value * 2 end as s_3
+from events cross join (select unnest([1, 2]) as copy) c where event_id % 10 = 3 or event_id % 10 > 4
+union all
+select event_id, null, 1.5::double, null from events where event_id % 10 = 4""")
 def _rows_payload(spark, sf):
     from pyspark.sql import types as T
     schema = T.StructType([T.StructField("unit", T.LongType()), T.StructField("s_2", T.DoubleType()),
                            T.StructField("s_3", T.DoubleType())])
-    return rq.rows_payload_to_df(_payloads(spark, sf).filter(F.col("event_id") % 10 > 4), schema, keep=("event_id",))
+    return rq.rows_payload_to_df(_payloads(spark, sf), schema, keep=("event_id",))
 
 
 @query("missing_features", """
-select event_id, case when event_id % 10 = 3 then 's_3,s_9' else 's_9' end as missing from events where event_id % 10 in (3, 5, 6)""")
+select event_id, case event_id % 10 when 0 then null when 1 then null when 2 then 's_2,s_3,s_9' when 3 then 's_3,s_9' else 's_9' end as missing,
+       case event_id % 10 when 0 then null when 1 then null when 2 then '' when 3 then 's_2,unit' when 4 then 's_2,s_3' else 's_2,s_3,unit' end as received
+from events""")
 def _missing(spark, sf):
-    chosen = _payloads(spark, sf).filter((F.col("event_id") % 10).isin(3, 5, 6))
-    return rq.missing_features(chosen, ["s_2", "s_3", "s_9"]).select(
-        "event_id", F.concat_ws(",", "missing_features").alias("missing"))
+    names = rq.missing_features(_payloads(spark, sf), ["s_2", "s_3", "s_9"])
+    return names.select("event_id", *[F.when(F.col(f"{c}_features").isNotNull(), F.concat_ws(",", f"{c}_features")).alias(c)
+                                      for c in ("missing", "received")])
 
 
 @query("classify_requests", """

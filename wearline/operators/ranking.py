@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wearline.operators import ladder
+from wearline.operators.drift import quantiles
 from wearline.session import stored
 
 
@@ -70,13 +71,17 @@ def profile_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             .withColumn("is_constant", F.coalesce(F.col("min") == F.col("max"), F.lit(False))))
 
 
-def baseline_stats(df: DataFrame, columns: Sequence[str], points: Sequence[float] = (0.25, 0.5, 0.75),
-                   accuracy: int = 10_000) -> DataFrame:
-    """Mean, deviation and approximate percentiles per feature, one sketch per column and task."""
+def baseline_stats(df: DataFrame, columns: Sequence[str], parts: int = 4) -> DataFrame:
+    """Mean, deviation and `percentiles` per feature: the exact, interpolated quantiles 1 / parts, 2 / parts, ...
+
+    Missing cells are left out; a column without values has NULL statistics.
+    """
     stats = F.array(*[F.struct(
-        F.lit(c).alias("feature"), F.avg(ladder.usable(c)).alias("mean"), F.stddev_samp(ladder.usable(c)).alias("std"),
-        F.percentile_approx(ladder.usable(c), list(points), accuracy).alias("percentiles")) for c in columns])
-    return df.agg(stats.alias("_s")).select(F.explode("_s").alias("_r")).select("_r.*")
+        F.lit(c).alias("feature"), F.avg(ladder.usable(c)).alias("mean"), F.stddev_samp(ladder.usable(c)).alias("std"))
+        for c in columns])
+    moments = df.agg(stats.alias("_s")).select(F.explode("_s").alias("_r")).select("_r.*")
+    inner = quantiles(df, columns, parts).select("feature", F.slice("quantiles", 2, parts - 1).alias("percentiles"))
+    return moments.join(F.broadcast(inner), "feature", "left")  # one row per feature
 
 
 def variance_threshold(df: DataFrame, columns: Sequence[str], threshold: float = 0.01) -> DataFrame:
