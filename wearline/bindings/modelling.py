@@ -24,7 +24,6 @@ from wearline.streaming.scoring import NewestModel, score_stream
 
 SMALL = ForestParams(num_trees=10, max_depth=6)
 TINY = ForestParams(num_trees=5, max_depth=5)
-FEATURES = list(SPEC.base)
 
 _fitted: dict[tuple[str, str], object] = {}
 _stores: dict[tuple[str, str], str] = {}
@@ -45,7 +44,7 @@ def store(spark, sf):
         root = fresh_path(spark, "models")
         t = ready_tables(spark, sf)
         for fraction in (0.5, 1.0):
-            retrain.retrain_job(spark, t.train, t.test_last_rows, FEATURES, root, fraction=fraction, params=TINY)
+            retrain.retrain_job(spark, t.train, t.test_last_rows, ALL_FEATURES, root, fraction=fraction, params=TINY)
         _stores[key] = root
     return _stores[key]
 
@@ -76,9 +75,10 @@ def _importance(spark, sf):
 
 @query("grid_search")
 def _grid(spark, sf):
-    grid = {"maxDepth": [3, 5]}
-    _, rmse, best = ml.grid_search(ready_tables(spark, sf).train, FEATURES, grid, folds=3, params=TINY)
-    return spark.createDataFrame([(float(rmse), int(best["maxDepth"]))], "rmse double, max_depth int")
+    grid = {"maxDepth": [3, 5], "featureSubsetStrategy": ["sqrt", "log2"]}
+    _, rmse, best = ml.grid_search(ready_tables(spark, sf).train, ALL_FEATURES, grid, params=TINY)
+    return spark.createDataFrame([(float(rmse), int(best["maxDepth"]), best["featureSubsetStrategy"])],
+                                 "rmse double, max_depth int, feature_subset string")
 
 
 @query("retrain_job")
@@ -103,13 +103,13 @@ def _bundle(spark, sf):
 @query("progressive_backtest")
 def _backtest(spark, sf):
     t = ready_tables(spark, sf)
-    return retrain.progressive_backtest(t.train, t.test, FEATURES, TINY, ratios=[0.25, 0.5, 1.0])
+    return retrain.progressive_backtest(t.train, t.test, ALL_FEATURES, TINY)
 
 
 @query("train_test_matrix")
 def _matrix(spark, sf):
     t = ready_tables(spark, sf)
-    return retrain.train_test_matrix(t.train, t.test_last_rows, FEATURES, params=TINY)
+    return retrain.train_test_matrix(t.train, t.test_last_rows, ALL_FEATURES, params=TINY)
 
 
 # -- streams over the events table, run to the end of what is there ----------------------------
