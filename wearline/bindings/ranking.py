@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from wearline.bindings import fixtures as fx
 from wearline.bindings.drift import PHYSICAL
 from wearline.bindings.features import FEATURED_CTES, with_rul
-from wearline.bindings.ready import ready_tables
+from wearline.bindings.ready import derived_tables
 from wearline.bindings.registry import oracle, query
 from wearline.functions import rounded
 from wearline.operators import features, folds, metrics, ranking, select, sequences
@@ -49,7 +49,7 @@ def _rank(name: str, columns: list[str], signed: bool) -> None:
 
     @query(name, oracle(body, "telemetry", ctes=RANKED_ROWS))
     def _run(spark, sf):
-        train = ready_tables(spark, sf).train
+        train = derived_tables(spark, sf).train(columns)
         return ranking.rank_features_spearman(train, columns, "RUL", signed=signed).withColumn("rho", rounded("rho"))
 
 
