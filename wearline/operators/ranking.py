@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,14 +14,120 @@ from wearline.operators import ladder
 from wearline.operators.drift import quantiles
 from wearline.session import stored
 
+#: Most distinct target values whose ranks are kept in every task, and rows that are packed together.
+TARGET_VALUES, PACK_ROWS = 1024, 50_000
+
 
 def spearman(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """Signed rank correlation of each feature with the target, over rows where both are present.
 
     Ranks of ties are averaged. Ranks come from the ladders, so no feature is ever sorted in one
-    place: the target's ranks are attached to the cells, cells are summed per distinct value, and
-    values are ranked within their bucket. A constant column gives NULL.
+    place: values are ranked within their bucket. A target of few distinct values has its ranks in every
+    task, and cells travel packed; otherwise the target's ranks are joined to the cells. A constant column gives NULL.
     """
+    levels = df.select(ladder.usable(target).alias("_y")).filter("_y is not null").distinct().limit(TARGET_VALUES + 1)
+    ys = np.unique(np.array([r["_y"] for r in levels.collect()], dtype=np.float64) + 0.0)
+    sums = _packed_sums(df, features, target, ys) if len(ys) <= TARGET_VALUES else _joined_sums(df, features, target)
+    names = F.lit(list(features)).cast(T.ArrayType(T.StringType()))
+    return sums.select(F.get(names, F.col("fid")).alias("feature"),
+                       F.try_divide(F.col("_xy"), F.sqrt(F.col("_xx") * F.col("_yy"))).alias("rho"))
+
+
+def _packed_sums(df: DataFrame, features: Sequence[str], target: str, ys: np.ndarray) -> DataFrame:
+    """(fid, _xy, _xx, _yy): sums over centred ranks, with cells sent as packed (value, target, count) by bucket.
+
+    What the driver holds is bounded by features * (buckets + TARGET_VALUES).
+    """
+    spark, k = df.sparkSession, len(features)
+    rows = df.select(ladder.usable(target).alias("_y"), *[F.col(c).cast("double").alias(c) for c in features]).filter("_y is not null")
+    cuts = ladder.cuts_of(stored(ladder.ladders(rows, features), "ladder"), features)
+
+    def cells(table: pa.Table | pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        code = np.searchsorted(ys, table.column(0).to_numpy() + 0.0)
+        for fid in range(k):
+            value = table.column(fid + 1).to_numpy(**({} if isinstance(table, pa.Table) else {"zero_copy_only": False}))
+            here = ~np.isnan(value)
+            yield fid, value[here] + 0.0, code[here]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Buckets first, then target values.
+        counts = [np.zeros(len(c) + 1 + len(ys), dtype=np.int64) for c in cuts]
+        for batch in batches:
+            for fid, value, code in cells(batch):
+                own = len(cuts[fid]) + 1
+                counts[fid][:own] += np.bincount(np.searchsorted(cuts[fid], value, side="right"), minlength=own)
+                counts[fid][own:] += np.bincount(code, minlength=len(ys))
+        for fid, n in enumerate(counts):
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_pydict({"fid": np.full(len(at), fid, dtype=np.int32), "at": at.astype(np.int32), "n": n[at]})
+
+    found = [np.zeros(len(c) + 1 + len(ys), dtype=np.int64) for c in cuts]
+    for fid, at, n in rows.mapInArrow(count, "fid int, at int, n long").groupBy("fid", "at").agg(F.sum("n")).collect():
+        found[fid][at] = n
+    before, ranks, spread, sizes = [], [], [], []
+    for fid, n in enumerate(found):
+        of_bucket, of_y = n[:len(cuts[fid]) + 1], n[len(cuts[fid]) + 1:]
+        sizes.append(int(of_bucket.sum()))
+        before.append(np.cumsum(of_bucket) - of_bucket)
+        ranks.append(np.cumsum(of_y) - (of_y - 1) / 2 - (sizes[fid] + 1) / 2)  # average rank of ties, from the middle rank
+        spread.append((fid, float((of_y * ranks[fid] ** 2).sum())))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= PACK_ROWS:
+                yield from packed(pa.Table.from_batches(held))
+                held = []
+        if held:
+            yield from packed(pa.Table.from_batches(held))
+
+    def packed(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        for fid, value, code in cells(table):
+            if not len(value):
+                continue
+            order = np.lexsort((code, value))
+            value, code = value[order], code[order]
+            first = np.flatnonzero(np.r_[True, (value[1:] != value[:-1]) | (code[1:] != code[:-1])])
+            n = np.diff(np.r_[first, len(value)])
+            value, code = value[first], code[first]
+            ends = np.r_[0, np.searchsorted(value, cuts[fid], side="left"), len(value)]
+            used = np.flatnonzero(np.diff(ends))
+            yield pa.RecordBatch.from_pydict({
+                "fid": np.full(len(used), fid, dtype=np.int32), "bucket": used.astype(np.int32),
+                "cells": [_pack(value[ends[b]:ends[b + 1]], code[ends[b]:ends[b + 1]], n[ends[b]:ends[b + 1]]) for b in used]})
+
+    def add(group: pa.Table) -> pa.Table:
+        fid, bucket = group.column("fid")[0].as_py(), group.column("bucket")[0].as_py()
+        parts = [_unpack(b) for b in group.column("cells").to_pylist()]
+        value, code, n = (np.concatenate(p) for p in zip(*parts))
+        distinct, at = np.unique(value, return_inverse=True)
+        of_value = np.bincount(at, weights=n, minlength=len(distinct))
+        ry = np.bincount(at, weights=n * ranks[fid][code], minlength=len(distinct))
+        centred = before[fid][bucket] + np.cumsum(of_value) - (of_value - 1) / 2 - (sizes[fid] + 1) / 2
+        return pa.table({"fid": pa.array([fid], pa.int32()), "_xy": [float((centred * ry).sum())],
+                         "_xx": [float((of_value * centred ** 2).sum())]})
+
+    sums = (rows.mapInArrow(pack, "fid int, bucket int, cells binary").groupBy("fid", "bucket")
+            .applyInArrow(add, "fid int, _xy double, _xx double")
+            .groupBy("fid").agg(F.sum("_xy").alias("_xy"), F.sum("_xx").alias("_xx")))
+    return sums.join(F.broadcast(spark.createDataFrame(spread, "fid int, _yy double")), "fid")  # one row per feature
+
+
+def _pack(value: np.ndarray, code: np.ndarray, n: np.ndarray) -> bytes:
+    """The arrays byte plane by byte plane: of sorted values the high planes hardly change, and compress away."""
+    arrays = (value.astype("<f8"), code.astype("<u2"), n.astype("<u4"))
+    return b"".join(a.view(np.uint8).reshape(len(a), -1).T.tobytes() for a in arrays)
+
+
+def _unpack(cells: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    planes = np.frombuffer(cells, dtype=np.uint8).reshape(14, -1)
+    return tuple(np.ascontiguousarray(planes[a:b].T).view(kind).ravel()
+                 for a, b, kind in ((0, 8, "<f8"), (8, 10, "<u2"), (10, 14, "<u4")))
+
+
+def _joined_sums(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
+    """The same sums with the target's ranks joined to the cells, which are summed per distinct value."""
     columns = [*features, target]
     rungs = stored(ladder.ladders(df, columns), "ladder")
     y_id = len(features)
@@ -45,10 +153,7 @@ def spearman(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     x_ranked = ladder.value_ranks(by_value, totals, "n")
     sums = x_ranked.groupBy("fid").agg(F.sum(centred * F.col("_sy")).alias("_xy"),
                                        F.sum(F.col("n") * centred * centred).alias("_xx"))
-    names = F.lit(list(features)).cast(T.ArrayType(T.StringType()))
-    return sums.join(F.broadcast(y_spread), "fid").select(  # one row per feature
-        F.get(names, F.col("fid")).alias("feature"),
-        F.try_divide(F.col("_xy"), F.sqrt(F.col("_xx") * F.col("_yy"))).alias("rho"))
+    return sums.join(F.broadcast(y_spread), "fid")  # one row per feature
 
 
 def rank_features_spearman(df: DataFrame, features: Sequence[str], target: str, k: int | None = None,
