@@ -30,7 +30,8 @@ def _read_text(spark, sf):
 @query("tag_subset", oracle("select * from telemetry", "telemetry"))
 def _tag(spark, sf):
     path = fresh_path(spark, "tag")
-    fx.telemetry(spark, sf).write.partitionBy("subset").parquet(path)
+    # Sensors repeat digits of few columns, which zstd finds.
+    fx.telemetry(spark, sf).write.partitionBy("subset").option("compression", "zstd").parquet(path)
     return tele.tag_subset(spark.read.parquet(path).drop("subset"), pattern=IN_FOLDER)
 
 
