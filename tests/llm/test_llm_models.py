@@ -128,3 +128,34 @@ def test_attention_weighs_the_passage_that_matters():
     p = quality_mil.train(x, np.ones((200, 6), dtype=bool), y, np.ones(200))
     owner = np.repeat(np.arange(200), 6)
     assert (((quality_mil.evaluate(p, x.reshape(-1, 4), owner, 200) > 0.5) == y).mean()) > 0.95
+
+
+def test_rules_are_fitted_on_every_labelled_row(spark, monkeypatch):
+    """Ranges, draw shares and the threshold are those of all labelled rows, worked out plainly."""
+    rng = np.random.default_rng(3)
+    y = (rng.random(9000) < 0.6).astype(int)
+    x = np.round(rng.normal(y[:, None] * np.arange(8) / 8, 1), 2)
+    names = quality_rules.RATES
+    table = spark.createDataFrame([(i, int(k), *map(float, v)) for i, (k, v) in enumerate(zip(y, x))],
+                                  "doc_id long, label int, " + ", ".join(f"{n} double" for n in names))
+    a, b = x[y == 1], x[y == 0]
+    gain = np.array([abs(np.mean([(np.searchsorted(k, v, "left") + np.searchsorted(k, v, "right")) / len(k)
+                                  for k in [np.sort(a[:, f])] for v in b[:, f]]) - 1) for f in range(8)]) ** 4 + 0.01
+    assert np.allclose(quality_rules.told_apart(table, names), gain / gain.sum(), atol=1e-12)
+
+    score = np.round(rng.normal(1 - y, 0.4), 3)
+    scored = spark.createDataFrame([(int(k), float(v)) for k, v in zip(y, score)], "label int, anomaly double")
+    keepers, rejects = np.sort(score[y == 1]), np.sort(score[y == 0])
+    least = keepers[min(len(keepers) - 1, int(np.ceil((1 - quality_rules.KEEPER_LOSS) * len(keepers))))]
+    options = np.unique(np.r_[score[score > least], np.nextafter(least, np.inf)])
+    apart = (np.searchsorted(keepers, options) * len(rejects) - np.searchsorted(rejects, options) * len(keepers))
+    best = options[np.argmax(apart)]
+    assert quality_rules.calibrate(scored) == (best + score[score < best].max()) / 2
+
+    own = quality_rules.drawn_rows(table.where("label = 1"), names, len(a))
+    assert len(own) == quality_rules.TREES and all(v.shape == (quality_rules.SUBSAMPLE, 8) for v in own)
+    places = {tuple(v): i for i, v in enumerate(a)}
+    drawn = {places[tuple(v)] for tree in own for v in tree}
+    assert len(drawn) > 0.99 * len(places)  # trees differ, and no keeper is left out beforehand
+    few = quality_rules.drawn_rows(table.where("label = 1 and doc_id < 100"), names, int(y[:100].sum()))
+    assert all(len(v) == y[:100].sum() for v in few)
