@@ -180,3 +180,21 @@ def test_lines_run_no_python(spark, sf):
     docs = spark.read.parquet(f"{sf['0.001']}/documents.parquet")
     plan = line_dedup.fingerprints(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_lines_unlike_fingerprints_share_few_keys(spark, monkeypatch):
+    """Chance keys grow with the square of the lines: 100,000 unlike lines must bring less than a row in a thousand."""
+    class Counted(Exception):
+        pass
+
+    def stop_at_keys(df, label, stored=line_dedup.stored):
+        if label == "keyed":
+            raise Counted(df.count())
+        return stored(df, label)
+
+    monkeypatch.setattr(line_dedup, "stored", stop_at_keys)
+    lines = spark.range(100_000).selectExpr("struct(id as a, id as b) as line", "xxhash64(id) as fp",
+                                            "struct(false as last, id as doc_id, 0 as pos) as first")
+    with pytest.raises(Counted) as found:
+        line_dedup.linked(None, lines)
+    assert found.value.args[0] < 100
