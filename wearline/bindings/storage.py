@@ -21,7 +21,7 @@ IN_FOLDER = r"subset=(\d+)/"
 @query("read_telemetry_text", oracle("select * exclude (split) from telemetry where split = 'train'", "telemetry"))
 def _read_text(spark, sf):
     path = fresh_path(spark, "text")
-    df = fx.split_of(spark, sf, "train")
+    df = fx.telemetry(spark, sf, "train")
     line = F.concat_ws("   ", *[F.col(c).cast("string") for c in (SPEC.entity, SPEC.order, *SPEC.base)])
     df.select("subset", F.concat(F.lit(" "), line, F.lit("  ")).alias("value")).write.partitionBy("subset").text(path)
     return tele.read_telemetry_text(spark, path, pattern=IN_FOLDER)
