@@ -159,3 +159,12 @@ def test_rules_are_fitted_on_every_labelled_row(spark, monkeypatch):
     assert len(drawn) > 0.99 * len(places)  # trees differ, and no keeper is left out beforehand
     few = quality_rules.drawn_rows(table.where("label = 1 and doc_id < 100"), names, int(y[:100].sum()))
     assert all(len(v) == y[:100].sum() for v in few)
+
+
+def test_toxicity_is_learnt_alike_from_rows_in_any_order(spark):
+    rows = [(i, int(i % 3 == 0), f"some words stupid{'' if i % 3 else ' idiot scum'} number {i} of {i * i} many {'more ' * (i % 7)}")
+            for i in range(80)]
+    found = [spark.createDataFrame(x, "doc_id long, label int, text string").coalesce(1) for x in (rows, rows[::-1], rows[40:] + rows[:40])]
+    first, *others = [toxicity.fit(f, {0: 53, 1: 27}) for f in found]
+    for other in others:
+        assert list(first["beta"]) == list(other["beta"]) and first["base"] == other["base"]

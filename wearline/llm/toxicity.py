@@ -259,7 +259,9 @@ def fit(found: DataFrame, sizes: dict[int, int]) -> dict | None:
         np.maximum.at(best, owner, scores)
         use = (label < 0) | (scores > 0) | (scores >= best[owner])
     fold = kernel.weights.astype(np.float64) @ (root @ w)
-    found_scores = document_features(found, kernel.codes, fold.astype(np.float32), "label").collect()
+    # Sums depend on the order of their terms in the last digits, and rows come in any order.
+    found_scores = sorted(document_features(found, kernel.codes, fold.astype(np.float32), "label").collect(),
+                          key=lambda r: (r["label"], r["f"]))
     z = np.array([r["f"] for r in found_scores])
     t = np.array([r["label"] for r in found_scores], dtype=float)
     beta, base = folds.logistic(z, t, folds.class_weights(t, sizes))
