@@ -198,3 +198,29 @@ def test_lines_unlike_fingerprints_share_few_keys(spark, monkeypatch):
     with pytest.raises(Counted) as found:
         line_dedup.linked(None, lines)
     assert found.value.args[0] < 100
+
+
+def test_lines_keys_are_dealt_once(spark, monkeypatch):
+    """However many keys are shared, the rows of all keys are shuffled once, without their lines."""
+    class Planned(Exception):
+        pass
+
+    def stop_at_keys(df, label, stored=line_dedup.stored):
+        if label == "keyed":
+            raise Planned(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, label)
+
+    monkeypatch.setattr(line_dedup, "stored", stop_at_keys)
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", -1)
+    lines = spark.range(1000).selectExpr("struct(id as a, id as b) as line", "id div 2 as fp",
+                                         "struct(false as last, id as doc_id, 0 as pos) as first")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        with pytest.raises(Planned) as found:
+            line_dedup.linked(None, lines)
+    finally:
+        spark.conf.set(name, old)
+    plan = found.value.args[0]
+    assert plan.count("hashpartitioning(key") == 1 and "SortMergeJoin [key" not in plan
